@@ -12,7 +12,6 @@ their places independently of each other, without a global sort.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -29,10 +28,7 @@ from quire.llm.common import durable, utf8
 END_ID = 2
 CAPACITY = 1024
 TOKENIZER = "byte_bpe_50k.json"
-#: Word parts that a Python worker remembers before it starts anew.
-CACHE_ENTRIES = 1_000_000
 
-_DOUBLE_SPACE = re.compile(r"\s\s")
 #: How a byte-level pre-tokenizer splits a text.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, local_rank long"
@@ -55,13 +51,11 @@ def _byte_ranks(path: str) -> dict[bytes, int] | None:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit bytes, remembering word parts.
+    """Ids of whole texts as little-endian 32-bit bytes.
 
-    The byte-level pre-tokenizer splits before every space that a non-space follows and around a
-    single line feed between non-spaces, so those parts are encoded on their own, once, by the
-    quicker of two libraries with the same vocabulary, and joined.  A text with white space in a
-    row, or with the string of a special token, goes to the tokenizer whole, and so does every text
-    where the file is no plain byte-level BPE.
+    Of the two libraries that read this vocabulary the quicker one encodes, where the file is plain
+    byte-level BPE; a text with the string of a special token, and every text of another kind of
+    file, goes to the tokenizer of the file itself.
     """
 
     def __init__(self, path: str | None) -> None:
@@ -75,32 +69,13 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         ranks = _byte_ranks(path)
-        self._quick = tiktoken.Encoding(path, pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary if ranks else None
-        self._parts: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [array("I", x.ids).tobytes() for x in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """One byte string of ids for each text, without the end id."""
-        if self._quick is None:
-            return self._whole(texts)
-        quick, get = self._quick, self._parts.__getitem__
-        out: list[bytes] = []
-        for text in texts:
-            if _DOUBLE_SPACE.search(text) or "\0" in text or any(s in text for s in self._special):
-                out += self._whole([text])
-                continue
-            parts = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
-            try:
-                out.append(b"".join(map(get, parts)))
-            except KeyError:
-                if len(self._parts) > CACHE_ENTRIES:
-                    self._parts.clear()
-                for part in set(parts).difference(self._parts):
-                    self._parts[part] = array("I", quick(part)).tobytes()
-                out.append(b"".join(map(get, parts)))
-        return out
+        self._quick = ranks and tiktoken.Encoding(path, pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def encode(self, text: str) -> bytes:
+        """The ids of one text, without the end id."""
+        if self._quick and not any(s in text for s in self._special):
+            return array("I", self._quick(text)).tobytes()
+        return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 _encoders: dict[str | None, Encoder] = {}
@@ -131,9 +106,8 @@ def token_pieces(docs: DataFrame, *, tokenizer_path: str | None = None, capacity
                 part = batch.slice(at, 256)
                 doc_ids = part.column(0).to_pylist()
                 rows: list[tuple] = []
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc_id, ids in zip(doc_ids, encode(texts), strict=True):
-                    ids += end
+                for doc_id, text in zip(doc_ids, part.column(1).to_pylist(), strict=True):
+                    ids = encode(text or "") + end
                     n = len(ids) // 4
                     first = n % capacity or capacity
                     edges = [0, *range(first, n + 1, capacity)] if n > capacity else [0, n]
