@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import packing, quality, simhash
+from quire.llm import decontaminate, packing, quality, secrets, simhash
 from quire.llm.common import table
 
 
@@ -15,6 +15,33 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_items = F.size("items").cast("long")
+    return found.select(
+        "doc_id", "n_words", "n_hit", n_items.alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (n_items >= decontaminate.CONTAMINATED_ITEMS).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near"),
+    )
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secrets.scan_paths(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+
+    def number(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    def listed(spans: F.Column) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id", *[number(k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -25,7 +52,39 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op9_best_fit_packing, op10_simhash)
+    f.__name__: f for f in (op1_quality_rules, op3_decontaminate, op4_secret_scan, op9_best_fit_packing, op10_simhash)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item, least(len(w), 8) AS n, array_to_string(w[k:k + least(len(w), 8) - 1], ' ') AS phrase
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 7, 1) + 1)) AS k FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS phrase
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+m AS (SELECT r, item, k, dw.n AS n FROM dw JOIN bw USING (n, phrase)),
+h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM m) GROUP BY r),
+i AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM m GROUP BY r),
+-- proximity: a stretch of n + 4 words that holds every word of the window
+bt AS (SELECT DISTINCT item, n, phrase, unnest(list_distinct(string_split(phrase, ' '))) AS t FROM bw),
+nt AS (SELECT item, n, phrase, count(*) AS terms FROM bt GROUP BY ALL),
+dt AS (SELECT r, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS p FROM d WHERE len(w) > 0),
+df AS (SELECT t, count(*) AS f FROM dt GROUP BY t),
+rare AS (SELECT item, n, phrase, arg_min(t, coalesce(f, 0)) AS t FROM bt LEFT JOIN df USING (t) GROUP BY ALL),
+c AS (SELECT DISTINCT r, item, rare.n, phrase, unnest(range(p - n - 3, p + 1)) AS s FROM rare JOIN dt USING (t)),
+g AS (
+  SELECT r, item, n, phrase, s FROM c JOIN bt USING (item, n, phrase) JOIN dt USING (r, t)
+  WHERE p BETWEEN s AND s + n + 3 GROUP BY r, item, n, phrase, s HAVING count(DISTINCT t) = (
+    SELECT terms FROM nt WHERE nt.item = c.item AND nt.n = c.n AND nt.phrase = c.phrase)),
+e AS (SELECT r, count(DISTINCT item) AS n_near FROM g GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r) LEFT JOIN e USING (r)
+""",
+}
