@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontaminate, packing, quality, secrets, simhash
+from quire.llm import decontaminate, packing, quality, secrets, simhash, substrings
 from quire.llm.common import table
 
 
@@ -42,6 +42,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -52,13 +57,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_decontaminate, op4_secret_scan, op9_best_fit_packing, op10_simhash)
+    f.__name__: f for f in (op1_quality_rules, op3_decontaminate, op4_secret_scan, op8_substring_dedup, op9_best_fit_packing, op10_simhash)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_substring_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, k, hash(array_to_string(w[k:k + 49], ' ')) AS h FROM (SELECT *, unnest(range(1, len(w) - 48)) AS k FROM d WHERE len(w) >= 50)),
+m AS (SELECT r, k, doc_id > min(doc_id) OVER (PARTITION BY h) AS again FROM s),
+p AS (SELECT r, list(DISTINCT p) AS gone FROM (SELECT r, unnest(range(k, k + 50)) AS p FROM m WHERE again) GROUP BY r),
+x AS (SELECT r, p, w[p] AS word FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d WHERE len(w) > 0)),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS t FROM x WHERE NOT EXISTS (SELECT 1 FROM (SELECT r, unnest(gone) AS p FROM p) g WHERE g.r = x.r AND g.p = x.p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN p USING (r) LEFT JOIN kept USING (r)
+""",
     "op3_decontaminate": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
 b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
