@@ -106,7 +106,8 @@ def classes(rows: DataFrame) -> DataFrame:
         F.when(F.col("moved").isNull(), F.col("least")).otherwise(F.col("found")).alias("component_id"),
         F.coalesce("moved", "fp").alias("class_fp"),
     )
-    return rows.join(names, "fp")
+    # written, so that both sides are shuffled anew: adaptive execution can then split a hot fingerprint
+    return rows.join(durable(names), "fp")
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
