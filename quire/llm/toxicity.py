@@ -29,10 +29,13 @@ FOLDS = 5
 BITS = 18
 #: Lengths in bytes of the word beginnings that are features beside the whole word.
 PREFIXES = (4, 5)
-STEPS = 400
+STEPS = 600
 BATCH = 1_024
-RATE = 0.05
-DECAY = 1e-4
+RATE = 0.1
+DECAY = 1e-5
+#: A feature counts if so many toxic texts have it, and it is so many times as common there.
+MIN_TEXTS = 3
+MIN_LIFT = 3.0
 #: Words whose features or weights a Python worker remembers.
 CACHE_WORDS = 300_000
 _FEATURES = 1 + len(PREFIXES)
@@ -85,29 +88,34 @@ class Model(NamedTuple):
 
 
 class _Sample:
-    """Texts as rows of a sparse matrix of feature counts."""
+    """Texts as rows of a sparse matrix of the features that count, scaled by their distinct words."""
 
-    def __init__(self, texts: list[np.ndarray]) -> None:
-        self.rows = texts
+    def __init__(self, texts: list[np.ndarray], number: np.ndarray) -> None:
+        self.scales = np.asarray([max(len(t) / _FEATURES, 1) ** -0.5 for t in texts])
+        self.rows = [n[n >= 0] for n in (number[t] for t in texts)]
 
     def batch(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Features, the batch row of each, and its value."""
         rows = [self.rows[k] for k in chosen]
-        sizes = np.asarray([len(r) for r in rows])
-        of = np.repeat(np.arange(len(rows)), sizes)
-        value = np.repeat(1 / np.sqrt(np.maximum(sizes / _FEATURES, 1)), sizes)
-        return np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int64), of, value
+        sizes = [len(r) for r in rows]
+        return np.concatenate(rows).astype(np.int64), np.repeat(np.arange(len(rows)), sizes), np.repeat(self.scales[chosen], sizes)
 
 
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, seed: int = 42) -> Model:
     """Minimise the non-negative risk by Adam; features are drawn in batches with a fixed seed."""
-    size = 1 << BITS
-    weights, bias = np.zeros(size), 0.0
+    every = np.zeros(1 << BITS, np.float32)
     if not positive or not unlabelled or not 0 < prior < 1:
-        return Model(weights.astype(np.float32), -60.0)
+        return Model(every, -60.0)
+    toxic, plain = (np.bincount(np.concatenate([np.unique(r) for r in rows]), minlength=len(every)) for rows in (positive, unlabelled))
+    lift = (toxic + 0.5) / (len(positive) + 1) / ((plain + 0.5) / (len(unlabelled) + 1))
+    used = np.flatnonzero((toxic >= MIN_TEXTS) & (lift > MIN_LIFT))
+    number = np.full(len(every), -1)
+    number[used] = np.arange(len(used))
+    size = len(used)
+    weights, bias = np.zeros(size), 0.0
     rng = np.random.default_rng(seed)
     first, second = np.zeros(size + 1), np.zeros(size + 1)
-    samples = _Sample(positive), _Sample(unlabelled)
+    samples = _Sample(positive, number), _Sample(unlabelled, number)
     for step in range(1, STEPS + 1):
         parts = []
         for s in samples:
@@ -126,7 +134,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
         move = RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         weights, bias = weights - move[:-1], bias - move[-1]
-    return Model(weights.astype(np.float32), float(bias))
+    every[used] = weights
+    return Model(every, float(bias))
 
 
 def _featured(docs: DataFrame) -> DataFrame:
