@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
+from quire.plans import markup_queries, relation_queries, text_queries  # noqa: F401  they enter themselves
+from quire.plans.catalog import ORACLES, QUERIES, Query
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Welded delimiters of the documents: line scan, run histogram, findings."""
+    return QUERIES["c01_dollar_runs"](spark, sf_dir)
