@@ -49,7 +49,7 @@ def inline_parity(docs: DataFrame) -> DataFrame:
 def unusual_characters(docs: DataFrame, *, ceiling: str = "\\x{FF}") -> DataFrame:
     """(sign, times, first_doc, code) of the characters beyond a code point."""
     signs = docs.select("doc", F.explode(F.regexp_extract_all("text", F.lit(f"([^\\x{{00}}-{ceiling}])"), 1)).alias("sign"))
-    return signs.groupBy("sign").agg(F.count(F.lit(1)).alias("times"), F.min("doc").alias("first_doc")).withColumn("code", F.expr("conv(hex(encode(sign, 'UTF-32BE')), 16, 10)").cast("long"))
+    return signs.groupBy("sign").agg(F.count(F.lit(1)).alias("times"), F.min("doc").alias("first_doc")).withColumn("code", F.expr("ascii(sign)").cast("long"))
 
 
 def padded_spans(spans: DataFrame) -> DataFrame:

@@ -56,22 +56,24 @@ def first_in_range(targets: DataFrame, points: DataFrame, by: str, width: int) -
     return wanted.join(there, [by, "tile"], "left").groupBy(*targets.columns).agg(F.min(inside).alias("found"))
 
 
-def passages(docs: DataFrame, needles: DataFrame, *, anchor: int = 24) -> DataFrame:
-    """(doc, item, at): where a compacted needle stands in a compacted document, from 1.
+def passages(docs: DataFrame, needles: DataFrame, *, block: int = 12) -> DataFrame:
+    """(doc, item, at): the first place of a compacted needle in a compacted document, from 1.
 
-    Documents and needles meet on the hash of the needle's first ``anchor`` characters, which a
-    document offers at every place, so neither side is scanned for each row of the other; matches
-    are then confirmed on the text.  Shorter needles are compared as documents are: by containment.
+    Documents are cut into blocks of ``block`` characters.  A needle of twice that length covers a
+    whole one near its start wherever it stands, so blocks and the needle's first ``block`` windows
+    meet by equality, and matches are confirmed on the text.  Shorter needles are tried on every
+    document by containment.
     """
     compact = docs.select("doc", T.compact(F.col("text")).alias("h"))
     wanted = needles.select("item", T.compact(F.col("text")).alias("n")).filter("n <> ''")
-    long = wanted.filter(F.length("n") >= anchor).withColumn("key", F.xxhash64(F.substring("n", 1, anchor)))
-    places = compact.filter(F.length("h") >= anchor).select("doc", F.posexplode(F.expr(f"transform(sequence(1, length(h) - {anchor - 1}), i -> xxhash64(substring(h, i, {anchor})))")).alias("p", "key"))
-    met = places.join(long.select("key", "item", "n"), "key").join(compact, "doc")
-    exact = met.filter(F.col("h").substr(F.col("p") + 1, F.length("n")) == F.col("n")).groupBy("doc", "item").agg((F.min("p") + 1).cast("long").alias("at"))
-    short = wanted.filter(F.length("n") < anchor)
-    contained = compact.join(short, F.contains("h", "n")).select("doc", "item", F.instr(F.col("h"), F.col("n")).cast("long").alias("at"))
-    return exact.unionByName(contained)
+    windows = wanted.filter(F.length("n") >= 2 * block).select("item", "n", F.explode(F.sequence(F.lit(0), F.lit(block - 1))).alias("o"))
+    windows = windows.withColumn("key", F.col("n").substr(F.col("o") + 1, F.lit(block)))
+    blocks = compact.select("doc", F.posexplode(F.regexp_extract_all("h", F.lit(f"(?s).{{{block}}}"), 0)).alias("b", "key"))
+    met = blocks.join(windows, "key").select("doc", "item", "n", (F.col("b") * block - F.col("o") + 1).alias("at")).filter("at > 0")
+    exact = met.join(compact, "doc").filter(F.col("h").substr(F.col("at"), F.length("n")) == F.col("n"))
+    exact = exact.groupBy("doc", "item").agg(F.min("at").cast("long").alias("at"))
+    contained = compact.join(wanted.filter(F.length("n") < 2 * block), F.contains("h", "n"))
+    return exact.unionByName(contained.select("doc", "item", F.instr(F.col("h"), F.col("n")).cast("long").alias("at")))
 
 
 def sign_bits(vector: Column) -> Column:

@@ -44,7 +44,8 @@ class Fixture:
     def sql(self) -> str:
         kinds = {"string": "VARCHAR", "long": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN", "array<string>": "VARCHAR[]"}
         rows = ", ".join("(" + ", ".join(f"CAST({_literal(v)} AS {kinds[k]})" for v, k in zip(row, self.kinds, strict=True)) + ")" for row in self.rows)
-        return f"(SELECT * FROM (VALUES {rows}) AS v({', '.join(self.columns)}))"
+        names = ", ".join(f'"{c}"' for c in self.columns)
+        return f"(SELECT * FROM (VALUES {rows}) AS v({names}))"
 
 
 def _literal(value: object) -> str:

@@ -80,7 +80,7 @@ def j14(spark, sf_dir):
     return joins.protected_merge(old, new, "doc", "v")
 
 
-_NUMBERED = "(SELECT l_orderkey, l_linenumber AS at, CASE WHEN l_partkey % 3 > 0 THEN CAST(l_linenumber AS BIGINT) END AS number FROM (SELECT DISTINCT ON (l_orderkey, l_linenumber) * FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey))"
+_NUMBERED = "(SELECT l_orderkey, l_linenumber AS \"at\", CASE WHEN l_partkey % 3 > 0 THEN CAST(l_linenumber AS BIGINT) END AS number FROM (SELECT DISTINCT ON (l_orderkey, l_linenumber) * FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey))"
 
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,17 +89,17 @@ def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("l_orderkey", F.col("l_linenumber").alias("at"), F.when(F.col("m.l_partkey") % 3 > 0, F.col("l_linenumber").cast("long")).alias("number"))
 
 
-@query("j15_number_gaps", f"SELECT l_orderkey, at FROM (SELECT *, last_value(number IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b, first_value(number IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY at ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS a FROM {_NUMBERED}) WHERE number IS NULL AND a > coalesce(b, 0) + 1")
+@query("j15_number_gaps", f"SELECT l_orderkey, \"at\" FROM (SELECT *, last_value(number IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY \"at\" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b, first_value(number IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY \"at\" ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS a FROM {_NUMBERED}) WHERE number IS NULL AND a > coalesce(b, 0) + 1")
 def j15(spark, sf_dir):
     return joins.number_gaps(numbered(spark, sf_dir), ["l_orderkey"], "at", "number").select("l_orderkey", "at")
 
 
-@query("w02_forward_fill", f"SELECT l_orderkey, at, last_value(number IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY at) AS filled FROM {_NUMBERED}")
+@query("w02_forward_fill", f"SELECT l_orderkey, \"at\", last_value(number IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY \"at\") AS filled FROM {_NUMBERED}")
 def w02(spark, sf_dir):
     return windows.forward_filled(numbered(spark, sf_dir), ["l_orderkey"], ["at"], "number", "filled").select("l_orderkey", "at", "filled")
 
 
-@query("w03_sequence_breaks", f"WITH n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY at) AS place FROM {_NUMBERED}), p AS (SELECT *, last_value(number IGNORE NULLS) OVER w AS ln, last_value(CASE WHEN number IS NOT NULL THEN place END IGNORE NULLS) OVER w AS lp FROM n WINDOW w AS (PARTITION BY l_orderkey ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT l_orderkey, number, CAST(ln + place - lp AS BIGINT) AS expected FROM p WHERE number IS NOT NULL AND ln IS NOT NULL AND number <> ln + place - lp")
+@query("w03_sequence_breaks", f"WITH n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY \"at\") AS place FROM {_NUMBERED}), p AS (SELECT *, last_value(number IGNORE NULLS) OVER w AS ln, last_value(CASE WHEN number IS NOT NULL THEN place END IGNORE NULLS) OVER w AS lp FROM n WINDOW w AS (PARTITION BY l_orderkey ORDER BY \"at\" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT l_orderkey, number, CAST(ln + place - lp AS BIGINT) AS expected FROM p WHERE number IS NOT NULL AND ln IS NOT NULL AND number <> ln + place - lp")
 def w03(spark, sf_dir):
     return windows.sequence_breaks(numbered(spark, sf_dir), ["l_orderkey"], ["at"], "number").select("l_orderkey", "number", F.col("expected").cast("long").alias("expected"))
 
@@ -127,7 +127,7 @@ def w07(spark, sf_dir):
     return windows.islands(events, ["user_id"], ["event_id"], F.col("event_type") == "signup").groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("w11_drift", f"WITH n AS (SELECT l_orderkey, at, row_number() OVER (PARTITION BY l_orderkey ORDER BY at) - number AS drift FROM {_NUMBERED}), d AS (SELECT *, coalesce(lag(drift) OVER (PARTITION BY l_orderkey ORDER BY at), 0) AS b FROM n WHERE drift IS NOT NULL) SELECT l_orderkey, at, CAST(drift AS BIGINT) AS drift FROM d WHERE drift <> 0 AND drift <> b")
+@query("w11_drift", f"WITH n AS (SELECT l_orderkey, \"at\", row_number() OVER (PARTITION BY l_orderkey ORDER BY \"at\") - number AS drift FROM {_NUMBERED}), d AS (SELECT *, coalesce(lag(drift) OVER (PARTITION BY l_orderkey ORDER BY \"at\"), 0) AS b FROM n WHERE drift IS NOT NULL) SELECT l_orderkey, \"at\", CAST(drift AS BIGINT) AS drift FROM d WHERE drift <> 0 AND drift <> b")
 def w11(spark, sf_dir):
     counted = numbered(spark, sf_dir).withColumn("counter", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("at")))
     return windows.drift(counted, ["l_orderkey"], ["at"], "counter", "number").select("l_orderkey", "at", F.col("drift").cast("long").alias("drift"))
