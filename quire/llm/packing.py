@@ -3,9 +3,9 @@
 Documents are tokenised, closed with the end id and cut into pieces of at most ``capacity`` tokens.
 How the pieces combine depends only on how many there are of each length, a table of at most
 ``capacity`` counts.  ``plan`` works on that table alone: it opens a sequence with the longest
-length left, looks the gap up among single lengths, then pair sums, then triple sums, and takes a
-combination that fills the gap exactly as often as the counts allow; what has no exact complement
-is packed best-fit.  Its slots say which ranks of a length go to which sequences, so pieces find
+length left, looks the gap up among single lengths (for all seeds, then among pair sums, then among
+triple sums), and takes a combination that fills the gap exactly as often as the counts allow; what
+has no exact complement is packed best-fit.  Its slots say which ranks of a length go to which sequences, so pieces find
 their places independently of each other, without a global sort.
 """
 
@@ -163,15 +163,16 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[Slot]:
         good = np.flatnonzero((left[high] > 0) & (left[low] > (high == low)))
         return [int(high[good[0]]), int(low[good[0]])] if len(good) else None
 
-    def complement(seed: int) -> list[int] | None:
+    def complement(seed: int, size: int) -> list[int] | None:
+        """The seed and ``size`` lengths that fill its gap exactly."""
         gap = capacity - seed
-        if gap == 0:
-            return [seed]
-        if left[gap] > (gap == seed):
-            return [seed, gap]
-        found = pair(gap, gap)
-        if found and often([seed, *found]):
-            return [seed, *found]
+        if size == 0:
+            return [seed] if gap == 0 else None
+        if size == 1:
+            return [seed, gap] if gap and left[gap] > (gap == seed) else None
+        if size == 2:
+            found = pair(gap, gap)
+            return [seed, *found] if found and often([seed, *found]) else None
         for high in np.flatnonzero(left[:gap])[::-1]:
             if 3 * high < gap:
                 break
@@ -180,9 +181,10 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[Slot]:
                 return [seed, int(high), *found]
         return None
 
-    for seed in range(capacity, 0, -1):
-        while left[seed] and (parts := complement(seed)) and (times := often(parts)):
-            take(parts, times)
+    for size in range(4):  # single complements of all seeds before pairs, and pairs before triples
+        for seed in range(capacity, 0, -1):
+            while left[seed] and (parts := complement(seed, size)) and (times := often(parts)):
+                take(parts, times)
     while left.any():
         parts, gap = [], capacity
         free = left.copy()

@@ -1,0 +1,23 @@
+from __future__ import annotations
+
+import corpus_pipeline
+from quire.llm import decontaminate, packing, secrets
+from quire.llm.common import table
+
+
+def test_stages_and_run(spark, sf_dir):
+    """Each stage keeps the columns and takes effect on what came before; run() gives the last one's rows."""
+    docs = table(spark, sf_dir, "documents")
+    start, counts = docs, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == start.columns, name
+        docs = spark.createDataFrame(out.collect(), start.schema)
+        counts.append(docs.count())
+    assert counts[0] > counts[1] > counts[2] >= counts[3] == counts[4] > 0
+    assert docs.select("doc_id").distinct().count() == docs.count()
+    assert decontaminate.benchmark_matches(docs, table(spark, sf_dir, "benchmark")).filter("n_hit > 0").count() == 0
+    assert secrets.scan_paths(docs)[0].filter("size(spans) > 0").count() == 0
+    assert docs.filter("length(text) <> n_chars").count() == 0
+    expected = {(r["doc_id"], r["piece"], r["ids_crc32"]) for r in packing.pack(docs).collect()}
+    assert {(r["doc_id"], r["piece"], r["ids_crc32"]) for r in corpus_pipeline.run(spark, sf_dir).collect()} == expected
