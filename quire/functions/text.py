@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 #: White space as Unicode has it; Java's plain ``\s`` is ASCII only.
 SPACE = r"(?U)\s"
 CJK_MAIN = "\\x{4E00}-\\x{9FFF}"
-MATH = r"(?s)\$\$.*?\$\$|\$[^$\n]+\$"
-LATEX_SPECIALS = {"\\": r"\textbackslash{}", "&": r"\&", "%": r"\%", "$": r"\$", "#": r"\#", "_": r"\_", "{": r"\{", "}": r"\}", "~": r"\textasciitilde{}", "^": r"\textasciicircum{}"}
+MATH = r"(?s)\${2}.*?\${2}|\$[^\n$]+\$"
+LATEX_SPECIALS = {"\\": r"\textbackslash{}"} | {c: f"\\{c}" for c in "#$%&_{}"} | {c: f"\\textascii{name}{{}}" for c, name in (("^", "circum"), ("~", "tilde"))}
 CHARS_PER_TOKEN = 1.5
-_DIGITS = {"零": 0, "〇": 0, "一": 1, "二": 2, "两": 2, "三": 3, "四": 4, "五": 5, "六": 6, "七": 7, "八": 8, "九": 9}
-_UNITS = {"十": 10, "百": 100, "千": 1000}
+_DIGITS = dict(zip("零一二三四五六七八九", range(10), strict=True)) | dict(zip("〇两", (0, 2), strict=True))
+_UNITS = {sign: 10 ** (k + 1) for k, sign in enumerate("十百千")}
 
 
 def strip(text: Column) -> Column:
@@ -151,7 +151,7 @@ def last_line(text: Column) -> Column:
 
 
 def chunk_id(name: Column) -> Column:
-    """``12``, ``012`` and ``012.md`` as ``012``."""
+    """The first digits of a name, three at least: ``7.md`` is ``007``."""
     return F.lpad(F.regexp_extract(name, r"(\d+)", 1), 3, "0")
 
 

@@ -64,7 +64,7 @@ def unbalanced(rows: DataFrame) -> DataFrame:
 
 def many_tags(spans: DataFrame) -> DataFrame:
     """Spans of more than one equation tag."""
-    return spans.withColumn("tags", T.count_of(F.col("body"), r"\\tag\s*\*?\s*\{[^}]*\}")).filter("tags > 1")
+    return spans.withColumn("tags", T.count_of(F.col("body"), r"\\tag[\s*]*\{[^{}]*\}")).filter("tags > 1")
 
 
 def dangling(spans: DataFrame, commands: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def unknown_words(words: DataFrame, vocabulary: DataFrame, *, by: list[str], mos
 
 def doubled_commands(rows: DataFrame) -> DataFrame:
     """(doc, command): names that are written twice over one backslash."""
-    return rows.select("doc", F.explode(F.regexp_extract_all("text", F.lit(r"\\([A-Za-z]+?)\1(?![A-Za-z])"), 1)).alias("command"))
+    return rows.select("doc", F.explode(F.regexp_extract_all("text", F.lit(r"\\(\p{Alpha}+?)\1(?!\p{Alpha})"), 1)).alias("command"))
 
 
 def heading_levels(headings: DataFrame) -> DataFrame:

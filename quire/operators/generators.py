@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 
-HEADING = r"^(#{1,6})[ \t]+(\S.*?)[ \t]*$"
-MD_IMAGE = r"!\[[^\]]*\]\(([^)\s]+)"
-HTML_IMAGE = r"(?i)<img\b[^>]*\bsrc=\"([^\"]+)\""
+HEADING = r"^(#{1,6})(?:[\t ]+)(\S.*?)[\t ]*$"
+MD_IMAGE = r"!\[(?:[^\]]*)\]\(([^\s)]+)"
+HTML_IMAGE = r'(?i)<img\s(?:[^>]*\s)?src="([^"]+)"'
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def math_spans(docs: DataFrame) -> DataFrame:
     opened = state.filter("fence and block % 2 = 1").select("doc", "block", "line")
     blocks = opened.join(inside.select("doc", "block", "body"), ["doc", "block"], "left").select("doc", "line", F.lit(0).cast("long").alias("nth"), F.lit("display").alias("kind"), F.coalesce("body", F.lit("")).alias("body"))
     outside = state.filter("not fence and block % 2 = 0")
-    display = F.regexp_extract_all("text", F.lit(r"\$\$(.+?)\$\$"), 1)
+    display = F.regexp_extract_all("text", F.lit(r"\${2}(.+?)\${2}"), 1)
     inline = F.regexp_extract_all(F.regexp_replace("text", r"\$\$.+?\$\$", ""), F.lit(INLINE), 1)
     spans = F.concat(_kinded(display, "display"), _kinded(inline, "inline"))
     rest = outside.select("doc", "line", F.posexplode(spans).alias("nth", "s")).select("doc", "line", F.col("nth").cast("long").alias("nth"), "s.kind", "s.body")
@@ -87,7 +87,7 @@ def latex_spans(docs: DataFrame) -> DataFrame:
     order = Window.partitionBy("doc").orderBy("line", "nth")
     markdown = first.select("doc", F.lit(0).alias("source"), (F.row_number().over(order) - 1).cast("long").alias("nth"), "body")
     brackets = F.regexp_extract_all("text", F.lit(r"(?s)\\\[(.*?)\\\]"), 1)
-    environments = F.regexp_extract_all("text", F.lit(r"(?s)\\begin\{(equation|align|gather|multline|eqnarray|displaymath)\*?\}(.*?)\\end\{\1\*?\}"), 2)
+    environments = F.regexp_extract_all("text", F.lit(r"(?s)\\begin\{(align|displaymath|eqnarray|equation|gather|multline)[*]?\}(.*?)\\end\{\1[*]?\}"), 2)
     rest = [docs.select("doc", F.lit(k).alias("source"), F.posexplode(x).alias("nth", "body")).withColumn("nth", F.col("nth").cast("long")) for k, x in ((1, brackets), (2, environments))]
     return markdown.unionByName(rest[0]).unionByName(rest[1])
 

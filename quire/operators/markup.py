@@ -10,7 +10,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from difflib import SequenceMatcher
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -26,7 +26,7 @@ DEFINED = frozenset(
 )
 SUMMARY = ("summary", "本章小结", "小结")
 UNNUMBERED = ("frontmatter", "backmatter")
-PREAMBLE_ONLY = (r"\documentclass", r"\usepackage", r"\begin{document}", r"\end{document}")
+PREAMBLE_ONLY = tuple(f"\\{x}" for x in ("usepackage", "documentclass", "end{document}", "begin{document}"))
 SIMILAR, PAIRED, PER_PAIR = 0.85, 0.5, 8
 
 
@@ -69,7 +69,8 @@ def environment_issues(docs: DataFrame, defined: frozenset[str] = DEFINED) -> Da
 
 def braced_arguments(docs: DataFrame, commands: list[str]) -> DataFrame:
     """(doc, command, star, at, argument) of the commands' first braced arguments, options skipped."""
-    pattern = re.compile(r"\\(" + "|".join(commands) + r")(\*?)(?![A-Za-z])(?:\[[^\]]*\])?")
+    names = "|".join(commands)
+    pattern = re.compile(rf"\\({names})(\*?)(?![A-Za-z])(?:\[[^]]*])?")
 
     def rows(text: str | None) -> Iterator[tuple]:
         for m in pattern.finditer(text or ""):
@@ -79,50 +80,39 @@ def braced_arguments(docs: DataFrame, commands: list[str]) -> DataFrame:
     return mapped(docs, ["text"], "command string, star boolean, at long, argument string", rows)
 
 
-class _Cells(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__()
-        self.rows: list[list[tuple[str, int, int]]] = []
-        self._cell: list[str] | None = None
-
-    def _close(self) -> None:
-        if self._cell is not None:
-            if not self.rows:
-                self.rows.append([])
-            self.rows[-1].append((" ".join("".join(self._cell).split()), *self._span))
-        self._cell = None
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag == "tr":
-            self._close()
-            self.rows.append([])
-        elif tag in ("td", "th"):
-            self._close()
-            size = dict(attrs)
-            self._span = tuple(int(v) if (v := size.get(k) or "").isdigit() and int(v) > 0 else 1 for k in ("colspan", "rowspan"))
-            self._cell = []
-        elif tag == "br" and self._cell is not None:
-            self._cell.append(" ")
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in ("td", "th", "tr", "table"):
-            self._close()
-
-    def handle_data(self, data: str) -> None:
-        if self._cell is not None:
-            self._cell.append(data)
-
-
-def cells_of(html: str) -> list[list[tuple[str, int, int]]]:
-    """Rows of (text, colspan, rowspan); white space collapsed, a bad span is one."""
-    parser = _Cells()
-    parser.feed(html)
-    parser.close()
-    parser._close()
-    return [r for r in parser.rows if r]
-
-
-def table_defect(rows: list[list[tuple[str, int, int]]]) -> str:
+#: A group of cells: text, columns and rows spanned.
+Cell = tuple[str, int, int]
+_HTML_PART = re.compile(r"<(?P<end>/?)(?P<tag>tr|t[dh]|br)\b(?P<more>[^>]*)>|<[^>]*>|[^<]+", re.IGNORECASE)
+
+
+def _spanned(attributes: str, name: str) -> int:
+    found = re.search(rf"(?i)\b{name}\s*=\s*[\"']?\s*([0-9]+)\s*(?:[\"']|\s|/|$)", attributes)
+    return max(int(found[1]), 1) if found else 1
+
+
+def cells_of(html: str) -> list[list[Cell]]:
+    """Cells by row; white space collapsed, a bad span is one, rows without cells left out."""
+    table: list[list[Cell]] = [[]]
+    said: list[str] | None = None  # of the cell that is open
+    spans = (1, 1)
+    for part in [*_HTML_PART.finditer(html), None]:
+        tag = part and (part["tag"] or "").lower()
+        if said is not None and (part is None or tag in ("tr", "td", "th")):
+            table[-1].append((" ".join(unescape("".join(said)).split()), *spans))
+            said = None
+        if not tag:
+            if part is not None and said is not None and not part[0].startswith("<"):
+                said.append(part[0])
+        elif tag == "br":
+            said = said and [*said, " "]
+        elif not part["end"] and tag == "tr":
+            table.append([])
+        elif not part["end"]:
+            said, spans = [], (_spanned(part["more"], "colspan"), _spanned(part["more"], "rowspan"))
+    return [row for row in table if row]
+
+
+def table_defect(rows: list[list[Cell]]) -> str:
     """Why a table cannot be a pipe table: empty, merged, ragged, or cells that collapsed into one; else empty."""
     if not rows:
         return "no rows"
@@ -141,7 +131,7 @@ def table_defect(rows: list[list[tuple[str, int, int]]]) -> str:
     return ""
 
 
-_TABLE = re.compile(r"<table\b.*?</table>", re.DOTALL | re.IGNORECASE)
+_TABLE = re.compile(r"(?is)<table\b.*?</table\s*>")
 
 
 def pipe_tables(docs: DataFrame) -> DataFrame:
@@ -161,7 +151,7 @@ def pipe_tables(docs: DataFrame) -> DataFrame:
             return "\n\n" + "\n".join(lines) + "\n\n"
 
         out = _TABLE.sub(pipe, text or "")
-        return [(re.sub(r"\n{3,}", "\n\n", out) if count["converted"] else out, count["converted"], count["kept"])]
+        return [(re.sub(r"\n\n\n+", 2 * "\n", out) if count["converted"] else out, count["converted"], count["kept"])]
 
     return mapped(docs, ["text"], "text string, converted long, kept long", rows)
 
@@ -252,7 +242,7 @@ def division_evidence(docs: DataFrame) -> DataFrame:
     top = F.col("text").rlike(r"^#[ \t]")
     w = Window.partitionBy("doc").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     found = generators.lines(docs).withColumn("division", F.max(F.when(top, F.col("line"))).over(w)).filter("division is not null")
-    patterns = (r"^#{2,6}[ \t]+(\d+)\.\d+", r"^(?:图|Fig\.|Figure)\s*(\d+)[.\-]\d+", r"\\tag\s*\{\s*(\d+)\.\d+")
+    patterns = (r"^#{2,6}[ \t]+(\d+)\.\d+", r"^(?:图|Fig\.|Figure)\s*(\d+)[.\-]\d+", r"\\tag\s*\{\s*([0-9]+)[.]\d")
     prefixes = F.flatten(F.array(*[F.regexp_extract_all("text", F.lit(p), 1) for p in patterns]))
     return found.select("doc", "division", F.explode(prefixes).alias("prefix")).groupBy("doc", "division", "prefix").agg(F.count(F.lit(1)).alias("times"))
 
@@ -274,7 +264,7 @@ def without_images(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """(doc, line, text): lines without references to dropped images (doc, path); a line that held nothing else goes."""
     bad = dropped.groupBy("doc").agg(F.collect_set("path").alias("bad"))
     found = generators.lines(docs).join(bad, "doc", "left")
-    held = F.regexp_extract_all("text", F.lit(r"!\[[^\]]*\]\([^)\s]+\)"), 0)
+    held = F.regexp_extract_all("text", F.lit(r"!\[(?:[^\]]*)\]\([^\s)]+\)"), 0)
     gone = F.filter(held, lambda r: F.array_contains(F.coalesce("bad", F.array().cast("array<string>")), F.regexp_extract(r, r"\(([^)\s]+)\)", 1)))
     text = F.aggregate(gone, F.col("text"), lambda t, r: F.replace(t, r, F.lit("")))
     return found.withColumn("n", F.size(gone)).withColumn("new", text).filter("n = 0 or trim(new) <> ''").select("doc", "line", F.col("new").alias("text"))
@@ -335,13 +325,13 @@ def pair_fidelity(pairs: DataFrame, *, most: int = PER_PAIR) -> DataFrame:
         for side, gone in (("lost", M.all_tags(a, latex=False) - M.all_tags(b, latex=True)), ("added", M.all_tags(b, latex=True) - M.all_tags(a, latex=False))):
             out += [("equation-tags", "review", f"{side} {t}") for t in sorted(gone)]
         left, right = (list(M.spans(t, latex=latex)) for t, latex in ((a, False), (b, True)))
-        blocks = [[M.tokens(M.without_tags(s.body, s.tag_after)[0]) for s in side if s.display] for side in (left, right)]
+        blocks = [[M.tokens(M.bare(s)[0]) for s in side if s.display] for side in (left, right)]
         if len(blocks[0]) != len(blocks[1]):
-            inline = [M.tokens(M.without_tags(s.body, display=False)[0]) for s in right if not s.display]
+            inline = [M.tokens(M.bare(s)[0]) for s in right if not s.display]
             moved = sum(any(ratio(x, y) >= SIMILAR for y in inline) for x in blocks[0])
             lost = len(blocks[0]) - len(blocks[1]) - moved
             out.append(("display-count", "review" if lost > 0 or len(blocks[1]) > len(blocks[0]) else "info", f"{len(blocks[0])} became {len(blocks[1])}"))
-        counts = [Counter(n for s in side for n in M.numbers(M.tokens(M.without_tags(s.body, s.tag_after, display=s.display)[0]))) for side in (left, right)]
+        counts = [Counter(n for s in side for n in M.numbers(M.tokens(M.bare(s)[0]))) for side in (left, right)]
         for side, x, y in (("lost", *counts), ("added", *counts[::-1])):
             out += [("numbers", "info" if n in y else "review", f"{side} {n}") for n in sorted(x - y)]
         for x, y in matched(*blocks):
@@ -355,9 +345,9 @@ def pair_fidelity(pairs: DataFrame, *, most: int = PER_PAIR) -> DataFrame:
     return mapped(pairs, ["source", "target"], "check string, severity string, message string", rows)
 
 
-def ratio(a: list[str], b: list[str]) -> float:
+def ratio(one: list[str], other: list[str]) -> float:
     """Likeness of token lists; it depends on the order of the two."""
-    return SequenceMatcher(None, a, b, autojunk=False).ratio() if a or b else 1.0
+    return 1.0 if not (one or other) else SequenceMatcher(None, one, other, autojunk=False).ratio()
 
 
 def matched(source: list[list[str]], target: list[list[str]]) -> list[tuple[list[str], list[str]]]:
@@ -386,7 +376,7 @@ def preamble_leaks(docs: DataFrame) -> DataFrame:
 def misplaced_tags(docs: DataFrame) -> DataFrame:
     """(doc, body): displays between dollar or square delimiters that hold exactly one tag."""
     bodies = F.concat(F.regexp_extract_all("text", F.lit(r"(?s)\$\$(.*?)\$\$"), 1), F.regexp_extract_all("text", F.lit(r"(?s)\\\[(.*?)\\\]"), 1))
-    return docs.select("doc", F.explode(bodies).alias("body")).filter(F.regexp_count("body", F.lit(r"\\tag\s*\*?\s*\{")) == 1)
+    return docs.select("doc", F.explode(bodies).alias("body")).filter(F.regexp_count("body", F.lit(r"\\tag[\s*]*\{")) == 1)
 
 
 def bare_delimiters(docs: DataFrame) -> DataFrame:
@@ -401,9 +391,9 @@ def bare_delimiters(docs: DataFrame) -> DataFrame:
 def required_packages(docs: DataFrame, packages: DataFrame) -> DataFrame:
     """(doc, command, n, line): commands (command, provider) whose provider no \\usepackage loads and no text defines."""
     code = generators.lines(docs).withColumn("text", F.regexp_replace("text", r"(?<!\\)%.*", ""))
-    used = code.select("doc", "line", F.explode(F.regexp_extract_all("text", F.lit(r"\\([A-Za-z]+)"), 1)).alias("command"))
-    loaded = code.select("doc", F.explode(F.flatten(F.transform(F.regexp_extract_all("text", F.lit(r"\\usepackage\s*(?:\[[^\]]*\])?\s*\{([^}]*)\}"), 1), lambda p: F.split(p, r"\s*,\s*")))).alias("provider")).distinct()
-    defined = code.select("doc", F.explode(F.regexp_extract_all("text", F.lit(r"\\(?:re)?newcommand\*?\s*\{?\\([A-Za-z]+)"), 1)).alias("command")).distinct()
+    used = code.select("doc", "line", F.explode(F.regexp_extract_all("text", F.lit(r"\\(\p{Alpha}+)"), 1)).alias("command"))
+    loaded = code.select("doc", F.explode(F.flatten(F.transform(F.regexp_extract_all("text", F.lit(r"\\usepackage(?:\[[^\]]*\]|\s)*\{([^}{]*)\}"), 1), lambda p: F.split(p, r"\s*,\s*")))).alias("provider")).distinct()
+    defined = code.select("doc", F.explode(F.regexp_extract_all("text", F.lit(r"\\(?:re)?newcommand[\s*]*\{?\\(\p{Alpha}+)"), 1)).alias("command")).distinct()
     provided = packages.join(loaded, "provider").select("doc", "command").distinct()
     missing = used.join(packages.select("command").distinct(), "command", "left_semi").join(provided, ["doc", "command"], "left_anti").join(defined, ["doc", "command"], "left_anti")
     return missing.groupBy("doc", "command").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("line"))

@@ -53,7 +53,7 @@ def decided(records: DataFrame, *, mode: str = "on", threshold: float = DROP_CON
 
 def split_number(number: Column) -> tuple[Column, Column]:
     """The sequence a figure number belongs to and its position in it; null if it has no such form."""
-    form = r"^(.+)[.\-](\d+)'?$"
+    form = r"^(.+)[-.](\d+)'?$"
     return F.nullif(F.regexp_extract(number, form, 1), F.lit("")), F.nullif(F.regexp_extract(number, form, 2), F.lit("")).cast("long")
 
 
@@ -148,14 +148,11 @@ def chapter_drift(chapters: DataFrame) -> DataFrame:
 
 def score(target: str, text: str) -> float:
     """How well a passage is found in a text: one if it stands there, else its longest run or likeness."""
-    if not target or not text:
-        return 0.0
-    if target in text:
-        return 1.0
-    matcher = SequenceMatcher(None, target, text, autojunk=False)
-    if matcher.real_quick_ratio() < LOCATE_LEAST / 2:
-        return 0.0
-    return max(matcher.find_longest_match().size / len(target), matcher.ratio())
+    whole = bool(target) and target in text
+    likeness = SequenceMatcher(None, target, text, autojunk=False)
+    if whole or "" in (target, text) or likeness.real_quick_ratio() < LOCATE_LEAST / 2:
+        return float(whole)
+    return max(likeness.find_longest_match().size / len(target), likeness.ratio())
 
 
 def located(excerpts: DataFrame, pages: DataFrame) -> DataFrame:

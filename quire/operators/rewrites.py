@@ -16,8 +16,8 @@ PAIR_BUDGET = 0.96
 def prefixed_images(text: Column, prefix: str) -> Column:
     """Relative image paths below a prefix; URLs, data, absolute and drive paths stay."""
     away = r"(?![a-zA-Z][a-zA-Z0-9+.\-]*:|/|\\)"
-    markdown = F.regexp_replace(text, rf"(!\[[^\]]*\]\(){away}([^)\s]+)", f"$1{prefix}/$2")
-    return F.regexp_replace(markdown, rf'(?i)(<img\b[^>]*\bsrc="){away}([^"]+)', f"$1{prefix}/$2")
+    markdown = F.regexp_replace(text, rf"(!\[(?:[^\]]*)\]\(){away}([^\s)]+)", f"$1{prefix}/$2")
+    return F.regexp_replace(markdown, rf'(?i)(<img\s(?:[^>]*\s)?src="){away}([^"]+)', f"$1{prefix}/$2")
 
 
 def trimmed_inline(docs: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def prompt(rows: DataFrame, by: str, order: str, line: Column) -> DataFrame:
 
 def doubled_starts(arguments: DataFrame) -> DataFrame:
     """Arguments of numbered commands that begin with the number they will be given; starred ones are told apart."""
-    label = r"(?i)^(?:(?:Figure|Fig\.|Table|Tab\.)\s*)?\d+(?:\.\d+)*\.?\s+\S"
+    label = r"(?i)^(?:(?:fig(?:ure|\.)|tab(?:le|\.))\s*)?\d[\d.]*\s+\S"
     return arguments.filter(F.col("argument").rlike(label))
 
 

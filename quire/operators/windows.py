@@ -55,7 +55,7 @@ def tiles(docs: DataFrame, *, most: int, overlap: int) -> DataFrame:
     return starts.select("doc", first.alias("first"), F.least(first + most - 1, F.col("total")).alias("last"))
 
 
-def snapped_tiles(total: int, most: int, overlap: int, marks: list[int], *, reach: int = 10, least: int = 20) -> list[tuple[int, int]]:
+def snapped_tiles(total: int, most: int, overlap: int, marks: list[int], *, reach: int = 10, least: int = 20) -> list[tuple[int, ...]]:
     """Tiles of one document whose ends move to the nearest contents mark, the smaller of two as near."""
     out, first = [], 1
     while first <= total:

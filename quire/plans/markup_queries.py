@@ -12,7 +12,7 @@ from quire.plans.text_queries import _HEADINGS, BOOKS
 TEX = Fixture("doc string, text string", [
     ("001", "\\chapter{1 Motion}\n\\section{1.1 Speed} % \\begin{x}\n\\begin{equation}v=\\frac{s}{t}\\tag{1.1}\\end{equation}\nIt is $v$ and \\textbf{bold.\n\\usepackage{multirow}\n\\multirow{2}{*}{x} \\cancel{x} \\cancel{y}"),
     ("002", "\\begin{itemize}\n\\begin{center}\n\\end{itemize}\n\\end{center}\n$$a=b\\tag{2.1}$$ \\[c=d\\tag{2.2}\\tag{2.3}\\]\n[\nx=1\n]\n# left heading"),
-    ("003", "\\documentclass{book}\nplain \\includegraphics[width=1cm]{IMG_0001} {IMG_0002}\n\\begin{tabular}{ll}a&b\\end{tabular}\n]\n["),
+    ("003", "\\documentclass{book}\nplain \\includegraphics[width=1cm]{IMG_0001} {IMG_0002}\n\\begin{tabular}{lr}u & v\\end{tabular}\n]\n["),
     ("004", ""),
 ])
 _TEX = TEX.sql()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-STATUSES = ("pending", "translated", "failed", "gap")
+STATUSES = ("failed", "gap", "pending", "translated")
 #: Statuses that end an attempt.
 ATTEMPTS = ("translated", "failed")
 TRANSIENT = (429, 500, 503, 529)
