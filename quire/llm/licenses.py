@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+Sentence = tuple[str, str]
 #: Identifier and text of the known sentences; the text is normalised as documents are.
-SENTENCES: tuple[tuple[str, str], ...] = (
+SENTENCES: tuple[Sentence, ...] = (
     ("CC-BY-NC-4", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-4", "Licensed under CC BY 4.0"),
     ("CC-BY-SA-4", "Licensed under CC BY-SA 4.0"),
@@ -63,7 +64,7 @@ def normalised(sentence: str) -> str:
     return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in sentence.lower()).split())
 
 
-def known_sentences(text: Column, sentences: tuple[tuple[str, str], ...] = SENTENCES) -> Column:
+def known_sentences(text: Column, sentences: tuple[Sentence, ...] = SENTENCES) -> Column:
     """Identifiers of a text's known sentences, in order; none for a null text."""
     lower = F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER, _LOWER)
     clean = F.transform(F.split(F.regexp_replace(lower, BOUNDARY, "\n"), "\n"), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
