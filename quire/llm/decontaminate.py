@@ -140,10 +140,11 @@ def search(index: DataFrame, items: list[tuple[str, bytes | None]], *, window: i
     """
     if slop is not None and window + slop >= GAP:
         raise ValueError(f"window and slop together must stay below {GAP}")
-    counts = index.select(F.explode(F.arrays_zip("terms", "freqs")).alias("t")).groupBy("t.terms").agg(F.sum("t.freqs").alias("n"))
     vocabulary = {w for _, text in items for w in alnum_words(text)}
-    counts = counts.filter(F.col("terms").isin(sorted(vocabulary))) if len(vocabulary) < 100 else counts
-    frequency = {bytes(r["terms"]): r["n"] for r in counts.collect()}  # a block's terms at most
+    wanted = index.sparkSession.createDataFrame([(w,) for w in sorted(vocabulary)], "term binary")
+    counts = index.select(F.explode(F.arrays_zip("terms", "freqs")).alias("t")).select(F.col("t.terms").alias("term"), F.col("t.freqs").alias("n"))
+    counts = counts.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n"))
+    frequency = {bytes(r["term"]): r["n"] for r in counts.collect()}  # a block's terms at most
     by_rarest: dict[bytes, list[Window]] = {}
     for w in windows_of(items, frequency, window):
         by_rarest.setdefault(w.terms[0], []).append(w)
