@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.functions import text as T
 from quire.operators import generators, markup, records, rewrites, windows
 from quire.plans.catalog import Fixture, query, table
 from quire.plans.markup_queries import TEX

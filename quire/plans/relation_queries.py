@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.functions import text as T
 from quire.operators import checks, joins, windows
 from quire.plans.catalog import Fixture, query, table
 from quire.plans.text_queries import documents
