@@ -10,7 +10,6 @@ bits.  A point has 65 possible visitors at most, so that way is linear and exact
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations, repeat
 
 import numpy as np

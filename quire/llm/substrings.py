@@ -30,7 +30,6 @@ BLOCK = WINDOW // 2
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so they have inverses
 
 
-
 class _Powers:
     """Powers of the two bases and of their inverses, as far as the longest text so far."""
 
