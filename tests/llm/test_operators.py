@@ -258,6 +258,99 @@ def test_licenses(spark, docs):
     assert licenses.license_scan(nothing(spark)).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2024 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD2 = """Copyright (c) 2024, Some One
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+BSD3 = BSD2.replace("THIS SOFTWARE IS PROVIDED BY", """3. Neither the name of Some Institute, Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY""")
+APACHE = """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+GPL = """This file is part of Thing.
+
+    {} is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    {} is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with {}.  If not, see <https://www.gnu.org/licenses/>.
+"""
+
+
+def test_full_licenses(spark):
+    """Published texts, wrapped, unwrapped by paragraph and in comments."""
+    full = [("MIT", MIT), ("BSD-2-Clause", BSD2), ("BSD-3-Clause", BSD3), ("Apache-2.0", APACHE), ("GPL", GPL.format(*["This program"] * 2, "this program")), ("GPL", GPL.format(*["Thing"] * 3))]
+    shapes = [lambda t: t, lambda t: "\n".join(" ".join(p.split()) for p in t.split("\n\n")), lambda t: "".join(f" * {x}\r\n" for x in t.splitlines())]
+    rows = [(k, name, shape(text)) for k, (name, text, shape) in enumerate((n, t, s) for n, t in full for s in shapes)]
+    found = licenses.license_scan(spark.createDataFrame([(k, t) for k, _, t in rows], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["licenses"], r["n_unused"]) for r in found} == {k: (name, 0) for k, name, _ in rows}
+    flat = licenses.license_scan(spark.createDataFrame([(k, " ".join(t.split("\n\n", 1)[1].split())) for k, t in enumerate([MIT.split("\n\n", 1)[1], BSD2, BSD3, "\n\n" + APACHE])], "doc_id long, text string"))
+    assert [r["licenses"] for r in flat.orderBy("doc_id").collect()] == ["MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0"]
+    assert all(any(a in licenses.normalised(s) for a in licenses.ANCHORS) for _, s in licenses.FULL_SENTENCES)
+    cut = spark.createDataFrame([(1, "Licensed under the Apache. License, Version 2.0"), (2, "x Released under the MIT License")], "doc_id long, text string")
+    assert not any(r["licenses"] for r in licenses.license_scan(cut).collect())
+
+
 def naive_cut(rows, window):
     first = {}
     for i, t in rows:
