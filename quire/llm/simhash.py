@@ -15,7 +15,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import batches, durable, utf8, words
@@ -109,23 +109,31 @@ def classes(rows: DataFrame) -> DataFrame:
     return rows.join(durable(names), "fp")
 
 
+def row_key(docs: DataFrame) -> Column:
+    """Key of a row: doc_id, null ids last, then the hash of the whole row."""
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), mark.alias("mark"))
+
+
+def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each key of ``kept``, with all columns."""
+    packed = docs.select(row_key(docs).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # the join leaves equal rows side by side, so counting them needs no further shuffle
+    same = Window.partitionBy("key").orderBy(F.lit(1))
+    out = packed.join(kept, "key").withColumn("turn", F.row_number().over(same)).filter("turn = 1")
+    return out.select("row.*")
+
+
 def keep_representatives(docs: DataFrame) -> DataFrame:
     """One row of every class of near-duplicates, with all columns of ``docs``: the one of the least
     doc_id, null ids last, then of the least hash of the whole row.  Rows without words form a class
     and keep one row, too."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64(*columns).alias("mark"))
-    packed = docs.select(key.alias("key"), F.struct(*columns).alias("row"))
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.asarray([fingerprint(t) for t in batch.column(3).to_pylist()], dtype=np.uint64)
         return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found.view(np.int64))], ["none", "id", "mark", "fp"])
 
-    marked = docs.select(key.alias("key"), utf8("text").alias("text")).select("key.*", "text")
+    marked = docs.select(row_key(docs).alias("key"), utf8("text").alias("text")).select("key.*", "text")
     marked = durable(marked.mapInArrow(batches(make), "none boolean, id long, mark long, fp long"))
     rows = marked.select("fp", F.struct("none", "id", "mark").alias("key"), F.when(~F.col("none"), F.col("id")).alias("doc_id"))
-    kept = classes(rows).groupBy("class_fp").agg(F.min("key").alias("key")).select("key").distinct()
-    # the join leaves equal rows side by side, so counting them needs no further shuffle
-    same = Window.partitionBy("key").orderBy(F.lit(1))
-    out = packed.join(kept, "key").withColumn("turn", F.row_number().over(same)).filter("turn = 1")
-    return out.select("row.*")
+    return rows_of(docs, classes(rows).groupBy("class_fp").agg(F.min("key").alias("key")).select("key").distinct())

@@ -11,7 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
-from quire.llm import decontaminate, licenses, packing, quality, secrets, simhash, substrings, tokencount, toxicity, urls
+from quire.llm import decontaminate, licenses, minhash, packing, quality, secrets, simhash, substrings, tokencount, toxicity, urls
 from quire.llm.components import connected_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, kept string, blob string, grp int, mark string, component_id long"
@@ -486,6 +486,37 @@ def test_representatives(spark, docs):
     assert {r["doc_id"] for r in out.collect()} == set(naive_classes(prints))
 
 
+@pytest.mark.parametrize("group", [minhash.GROUP, 2])
+def test_similar_texts(spark, docs, monkeypatch, group):
+    """Near copies of similarity 0.8 or more on five words, against all pairs."""
+    monkeypatch.setattr(minhash, "GROUP", group)
+    r, texts = random.Random(11), []
+    for k in range(12):
+        base = prose(200, 900 + k).split()
+        for changes in (0, 1, 2, 3, 4, 6, 9):
+            texts.append(" ".join("new" + str(r.randrange(999)) if j in r.sample(range(200), changes) else w for j, w in enumerate(base)) if changes else " ".join(base))
+    texts = [" ".join(t.split()[: 200 - 3 * (k % 4)]) for k, t in enumerate(texts)] + ["one two", "One  two", "one two three", "", None]
+    sets = [{tuple(w[j : j + 5]) for j in range(max(len(w) - 4, 1 if w else 0))} for w in (WORD.findall((t or "").lower()) for t in texts)]
+
+    def near(a, b):
+        return a == b or len(a & b) * 9 >= (len(a) + len(b)) * 4 > 0
+
+    parent = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if near(sets[a], sets[b]):
+                low, high = sorted((parent[a], parent[b]))
+                parent = [low if p == high else p for p in parent]
+    frame = spark.createDataFrame([(k, t, *[None] * 9) for k, t in enumerate(texts)], SCHEMA)
+    out = minhash.keep_representatives(frame.unionByName(frame.filter("doc_id < 9")))
+    kept = sorted(x["doc_id"] for x in out.collect())
+    assert out.columns == frame.columns and set(kept) >= set(parent) and len(set(kept)) == len(kept)
+    assert not any(near(sets[a], sets[b]) for a in kept for b in kept if a < b)
+    assert group == 2 or kept == sorted(set(parent))
+    assert minhash.keep_representatives(nothing(spark)).count() == 0
+    assert {x["doc_id"] for x in minhash.keep_representatives(docs).collect()} >= {0, 4, 7, 8, 9, 10, 11, 12}
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 201), (200, 201)]
     found = dict(map(tuple, connected_components(spark.createDataFrame(links, "a long, b long")).collect()))
