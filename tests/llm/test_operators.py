@@ -72,6 +72,27 @@ def test_quality_outliers(spark):
     assert left.columns == frame.columns and {r[0] for r in left.collect()} == set(range(300))
 
 
+def test_each_statistic_can_reject(spark):
+    """One planted outlier per statistic, within its range, in a clean group; half of that is kept."""
+    r = np.random.default_rng(4)
+    centre, spread = np.array([1.6, 0, 0, 0, 0.12, 0.16]), np.array([0.03, 0, 0, 0, 0.01, 0.01])
+    far = [1.6 + 1.2, 0.03**0.5, 0.5**0.5, 0.49**0.5, 0.4**0.5, 0.4**0.5]  # symbols 3 %, lines 50 %, words 49 %
+    rows = [(k, (centre + spread * r.normal(size=6)).tolist()) for k in range(300)]
+    for i, v in enumerate(far):
+        rows += [(1000 + i, [*centre[:i].tolist(), v, *centre[i + 1 :].tolist()]), (2000 + i, [*centre[:i].tolist(), (centre[i] + v) / 2, *centre[i + 1 :].tolist()])]
+    frame = spark.createDataFrame([(k, "en", "s", False, list(map(float, x))) for k, x in rows], "doc_id long, lang string, source string, base_failed boolean, x array<double>")
+    assert {r["doc_id"] for r in quality.judge(frame).filter("not kept").collect()} == {1000 + i for i in range(6)}
+
+
+def test_repetitive_text_is_rejected(spark):
+    clean = [(k, "\n".join(" ".join(f"w{random.Random(17 * k + j).randrange(10**6)}x{i}" for i in range(10)) for j in range(20))) for k in range(250)]
+    lines = clean[0][1].split("\n")
+    bad = "\n".join([*lines[:12], *lines[:2] * 3])  # six of 18 lines are duplicates, 80 of 180 words repeated
+    frame = spark.createDataFrame([(k, t, "en", "s", 0, *[None] * 6) for k, t in [*clean, (999, bad)]], SCHEMA)
+    verdict = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality.quality_rules(frame).collect()}
+    assert verdict.pop(999) == (False, False) and set(verdict.values()) == {(False, True)}
+
+
 def test_estimate_is_the_determinant_minimum(spark):
     """Planted outliers move neither centre nor scatter by much."""
     r = np.random.default_rng(3)
