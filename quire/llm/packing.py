@@ -2,16 +2,17 @@
 
 Documents are tokenised, closed with the end id and cut into pieces of at most ``capacity`` tokens.
 How the pieces combine depends only on how many there are of each length, a table of at most
-``capacity`` counts.  ``plan`` works on that table alone: it opens a sequence with the longest
-length left, looks the gap up among single lengths (for all seeds, then among pair sums, then among
-triple sums), and takes a combination that fills the gap exactly as often as the counts allow; what
-has no exact complement is packed best-fit.  Its slots say which ranks of a length go to which sequences, so pieces find
-their places independently of each other, without a global sort.
+``capacity`` counts.  ``plan`` works on that table alone: single lengths, pairs and triples are
+indexed by their sum, each seed looks up its gap there and takes a combination that fills it exactly
+as often as the counts allow, and what has no exact complement is packed best-fit.  Its slots say
+which ranks of a length go to which sequences, so pieces find their places independently of each
+other, without a global sort.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -29,6 +30,10 @@ END_ID = 2
 CAPACITY = 1024
 TOKENIZER = "byte_bpe_50k.json"
 
+#: Characters of white space in a row that the quicker library is trusted with: its pattern backtracks
+#: over the whole run, and one of a million overflows its stack.
+MAX_SPACE = 4_096
+_SPACE = re.compile(r"\s{64,}")
 #: How a byte-level pre-tokenizer splits a text.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, local_rank long"
@@ -54,8 +59,9 @@ class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
     Of the two libraries that read this vocabulary the quicker one encodes, where the file is plain
-    byte-level BPE; a text with the string of a special token, and every text of another kind of
-    file, goes to the tokenizer of the file itself.
+    byte-level BPE; a text with the string of a special token or with a run of more than ``MAX_SPACE``
+    characters of white space, and every text of another kind of file, goes to the tokenizer of the
+    file itself.  Ids are the same either way.
     """
 
     def __init__(self, path: str | None) -> None:
@@ -73,7 +79,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of one text, without the end id."""
-        if self._quick and not any(s in text for s in self._special):
+        if self._quick and not any(s in text for s in self._special) and all(m.end() - m.start() <= MAX_SPACE for m in _SPACE.finditer(text)):
             return array("I", self._quick(text)).tobytes()
         return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -131,71 +137,138 @@ class Slot(NamedTuple):
     each: int
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[Slot]:
-    """Slots for ``counts[n]`` pieces of each length ``n`` up to ``capacity``.
+class _Packing:
+    """Counts that are left of each length, and the slots that the rest went to."""
 
-    A step uses up a length or the seed, so the number of slots depends on ``capacity`` alone and
-    not on the number of pieces.
-    """
-    left = np.asarray(counts, dtype=np.int64).copy()
-    used = np.zeros_like(left)
-    slots: list[Slot] = []
-    sequence = 0
+    def __init__(self, counts: np.ndarray) -> None:
+        self.left = np.asarray(counts, dtype=np.int64).copy()
+        self.used = np.zeros_like(self.left)
+        self.slots: list[Slot] = []
+        self.sequences = 0
 
-    def take(parts: list[int], times: int) -> None:
-        nonlocal sequence
+    def put(self, length: int, sequence: int, offset: int, each: int, times: int) -> None:
+        """``each`` pieces of ``length`` at ``offset`` of ``times`` sequences from ``sequence`` on."""
+        self.slots.append(Slot(length, int(self.used[length]), sequence, offset, each))
+        self.used[length] += each * times
+        self.left[length] -= each * times
+
+    def take(self, parts: list[int], times: int) -> None:
+        """``times`` new sequences of these lengths."""
         offset = 0
         for length in dict.fromkeys(parts):
             each = parts.count(length)
-            slots.append(Slot(length, int(used[length]), sequence, offset, each))
-            used[length] += each * times
-            left[length] -= each * times
+            self.put(length, self.sequences, offset, each, times)
             offset += each * length
-        sequence += times
+        self.sequences += times
+
+    def often(self, parts: list[int]) -> int:
+        """How often the counts allow a combination."""
+        return min(int(self.left[x]) // parts.count(x) for x in set(parts))
 
-    def often(parts: list[int]) -> int:
-        return min(int(left[x]) // parts.count(x) for x in set(parts))
 
-    def pair(gap: int, most: int) -> list[int] | None:
-        """Two lengths of at most ``most`` that sum to ``gap``, the longer one as long as can be."""
-        high = np.arange(min(most, gap - 1), (gap - 1) // 2, -1)
-        low = gap - high
-        good = np.flatnonzero((left[high] > 0) & (left[low] > (high == low)))
-        return [int(high[good[0]]), int(low[good[0]])] if len(good) else None
+class _Sums:
+    """The index: which lengths, pairs and triples of lengths from ``least`` on have a given sum.
 
-    def complement(seed: int, size: int) -> list[int] | None:
-        """The seed and ``size`` lengths that fill its gap exactly."""
-        gap = capacity - seed
+    Counts only fall, so an entry of a length that is used up never comes back; it goes when it is met.
+    """
+
+    def __init__(self, packing: _Packing, capacity: int, least: int = 1) -> None:
+        self._packing, self._left, self._least = packing, packing.left, least
+        lengths = np.flatnonzero(packing.left)[::-1]  # the longest first
+        lengths = lengths[lengths >= least]
+        #: Of each sum, the longer lengths of the pairs.
+        self._pairs = [h[(packing.left[s - h] > 0) & (s - h >= least)] for s in range(capacity + 1) for h in [lengths[(2 * lengths >= s) & (lengths < s)]]]
+        some = np.asarray([len(h) > 0 for h in self._pairs])
+        #: Of each sum, the lengths that a pair completes.
+        self._triples = [h[some[s - h]] for s in range(capacity + 1) for h in [lengths[lengths < s]]]
+
+    def _alive(self, s: int) -> np.ndarray:
+        high = self._pairs[s]
+        self._pairs[s] = high[(self._left[high] > 0) & (self._left[s - high] > (2 * high == s))]
+        return self._pairs[s]
+
+    def complement(self, seed: int, gap: int, size: int) -> list[int] | None:
+        """The seed and ``size`` lengths that sum to ``gap``, the longest as long as can be."""
+        fits = self._packing.often
         if size == 0:
             return [seed] if gap == 0 else None
         if size == 1:
-            return [seed, gap] if gap and left[gap] > (gap == seed) else None
+            return [seed, gap] if gap >= self._least and self._left[gap] and fits([seed, gap]) else None
         if size == 2:
-            found = pair(gap, gap)
-            return [seed, *found] if found and often([seed, *found]) else None
-        for high in np.flatnonzero(left[:gap])[::-1]:
-            if 3 * high < gap:
-                break
-            found = pair(gap - int(high), int(high))
-            if found and often([seed, int(high), *found]):
-                return [seed, int(high), *found]
+            return next((parts for h in self._alive(gap) if fits(parts := [seed, int(h), gap - int(h)])), None)
+        alive = self._triples[gap] = self._triples[gap][self._left[self._triples[gap]] > 0]
+        dead = set()
+        for h in map(int, alive):
+            pairs = self._alive(gap - h)
+            if not len(pairs):
+                dead.add(h)
+            for k in map(int, pairs):
+                if fits(parts := [seed, h, k, gap - h - k]):
+                    self._triples[gap] = alive[[x not in dead for x in alive.tolist()]] if dead else alive
+                    return parts
+        self._triples[gap] = alive[[x not in dead for x in alive.tolist()]] if dead else alive
         return None
 
-    for size in range(4):  # single complements of all seeds before pairs, and pairs before triples
-        for seed in range(capacity, 0, -1):
-            while left[seed] and (parts := complement(seed, size)) and (times := often(parts)):
-                take(parts, times)
-    while left.any():
-        parts, gap = [], capacity
-        free = left.copy()
-        while gap and len(fits := np.flatnonzero(free[: gap + 1])):
-            length = int(fits[-1])
-            each = min(gap // length, int(free[length]))
-            parts += [length] * each
-            free[length] -= each
-            gap -= each * length
-        take(parts, often(parts))
-    return slots
+
+def _exact_first(counts: np.ndarray, capacity: int, least: int, most: int = 3) -> _Packing:
+    """Exact complements of up to ``most`` lengths, none below ``least``, then best fit.
+
+    All seeds, the longest first, try single complements before any tries pairs, and pairs before triples.
+    """
+    packing = _Packing(counts)
+    sums = _Sums(packing, capacity, least)
+    for size in range(most + 1):
+        for seed in range(capacity, least - 1, -1):
+            while packing.left[seed] and (parts := sums.complement(seed, capacity - seed, size)) and (times := packing.often(parts)):
+                packing.take(parts, times)
+    _best_fit(packing, capacity)
+    return packing
+
+
+def _best_fit(packing: _Packing, capacity: int) -> None:
+    """What is left, longest first, each piece where the least room remains (best-fit decreasing), by counts.
+
+    Open sequences are held as runs of neighbours with the same room.
+    """
+    runs: dict[int, list[tuple[int, int]]] = {}  # room: (first sequence, how many)
+    for length in range(capacity, 0, -1):
+        for room in [*sorted(r for r in runs if r >= length), None]:
+            while packing.left[length] and (room is None or runs.get(room)):
+                n = int(packing.left[length])
+                free = capacity if room is None else room
+                each = min(free // length, n)  # a sequence with the least room takes all that fit before the next one
+                if room is None:
+                    first, times = packing.sequences, n // each
+                    packing.sequences += times
+                else:
+                    first, many = runs[room].pop()
+                    times = min(many, n // each)
+                    if times < many:
+                        runs[room].append((first + times, many - times))
+                packing.put(length, first, capacity - free, each, times)
+                if free > each * length:
+                    runs.setdefault(free - each * length, []).append((first, times))
+
+
+def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[Slot]:
+    """Slots for ``counts[n]`` pieces of each length ``n`` up to ``capacity``.
+
+    Exact complements that take short pieces early leave long ones without a fit, so there are several
+    tries: all complements, from a fourth, an eighth, a sixteenth of ``capacity`` on and of any length,
+    single complements alone, and none.  The first with the fewest sequences counts, so the result is
+    never worse than best-fit decreasing; one that needs no more than the tokens do ends the search.
+    The number of slots depends on ``capacity`` alone and not on the number of pieces.
+    """
+    counts = np.asarray(counts, dtype=np.int64)
+    bound = -(-int((np.arange(len(counts)) * counts).sum()) // capacity)
+    best: _Packing | None = None
+    for least, most in (*((max(capacity // part, 1), 3) for part in (4, 8, 16, capacity)), (1, 1), (1, 0)):
+        found = _exact_first(counts, capacity, least, most)
+        if best is None or found.sequences < best.sequences:
+            best = found
+        if best.sequences == bound:
+            break
+    return best.slots
 
 
 def place(ranked: DataFrame, slots: list[Slot]) -> DataFrame:
@@ -221,8 +294,9 @@ def pack(docs: DataFrame, *, tokenizer_path: str | None = None, capacity: int =
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.  Null and empty
-    texts are one piece, their end id; repeated rows and repeated or null ids are packed row by row;
-    an empty table gives no rows.  Other columns are ignored.
+    texts are one piece, their end id; a text of any length is encoded whole, runs of white space
+    included; repeated rows and repeated or null ids are packed row by row; an empty table gives no
+    rows.  Other columns are ignored.
     """
     pieces = durable(token_pieces(docs, tokenizer_path=tokenizer_path, capacity=capacity, end_id=end_id))
     tasks = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))

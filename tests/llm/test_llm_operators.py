@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import re
@@ -427,22 +428,74 @@ def test_packing_round_trip(spark, docs):
     assert packing.pack(nothing(spark)).count() == 0
 
 
-@pytest.mark.parametrize("seed", range(5))
+def best_fit_decreasing(counts, capacity):
+    """Sequences of plain best-fit decreasing, piece by piece."""
+    rooms, n = [], 0
+    for length in range(capacity, 0, -1):
+        for _ in range(int(counts[length])):
+            at = bisect.bisect_left(rooms, length)
+            room = capacity if at == len(rooms) else rooms.pop(at)
+            n += at == len(rooms) and room == capacity
+            bisect.insort(rooms, room - length)
+    return n
+
+
+def laid_out(slots, counts, capacity):
+    """Sequences by number, checked: every rank of every length once, offsets gapless, none too long."""
+    held = defaultdict(list)
+    for length in np.flatnonzero(counts):
+        own = sorted(s for s in slots if s.length == length)
+        for s, until in zip(own, [*(t.rank for t in own[1:]), int(counts[length])]):
+            for k in range(until - s.rank):
+                held[s.sequence + k // s.each].append((s.offset + k % s.each * s.length, s.length))
+        assert own[0].rank == 0
+    for parts in held.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    assert sum(map(len, held.values())) == counts.sum()
+    return held
+
+
+@pytest.mark.parametrize("seed", range(8))
 def test_packing_plan(seed):
+    """Valid, and never more sequences than plain best-fit decreasing needs."""
     r = np.random.default_rng(seed)
     counts = np.zeros(65, np.int64)
-    np.add.at(counts, r.integers(1, 65, 500), 1)
-    used, room = Counter(), Counter()
-    slots = packing.plan(counts, 64)
-    for s in slots:
-        n = next((t.rank for t in sorted(slots) if t.length == s.length and t.rank > s.rank), counts[s.length]) - s.rank
-        used[s.length] += n
-        for k in range(n):
-            room[s.sequence + k // s.each] += s.length
-    assert all(used[k] == counts[k] for k in range(65)) and max(room.values()) <= 64
-    # no packing does with fewer than the tokens need, or than there are pieces of which no two fit
-    least = max(-(-int((np.arange(65) * counts).sum()) // 64), int(counts[33:].sum()) + int(counts[32]) // 2)
-    assert len(room) <= least + 8
+    top = (65, 65, 65, 40, 30, 65, 12, 65)[seed]
+    np.add.at(counts, r.integers(1, top, (500, 40, 7, 500, 300, 2000, 500, 1)[seed]), 1)
+    held = laid_out(packing.plan(counts, 64), counts, 64)
+    assert set(held) == set(range(len(held)))
+    assert -(-int((np.arange(65) * counts).sum()) // 64) <= len(held) <= best_fit_decreasing(counts, 64)
+
+
+def test_best_fit_by_counts():
+    for seed in range(6):
+        counts = np.bincount(np.random.default_rng(seed).integers(1, 65, 50 * seed + 1), minlength=65)
+        found = packing._exact_first(counts, 64, 1, 0)
+        assert found.sequences == best_fit_decreasing(counts, 64) and not found.left.any()
+
+
+def test_exact_complements():
+    """One seed of each kind: alone, and completed by one, two and three lengths; two of a kind need two."""
+    counts = np.bincount([64, 40, 24, 50, 9, 5, 61, 1, 1, 1], minlength=65)
+    held = laid_out(packing.plan(counts, 64), counts, 64)
+    assert sorted(sorted(n for _, n in parts) for parts in held.values()) == [[1, 1, 1, 61], [5, 9, 50], [24, 40], [64]]
+    assert len(laid_out(packing.plan(np.bincount([32], minlength=65), 64), np.bincount([32], minlength=65), 64)) == 1
+
+
+def test_packing_long_white_space(spark):
+    """Runs of white space on which a backtracking pattern gives up are encoded like any other text."""
+    texts = ["a" + " " * 1_000_000 + "b", "\n" * 2_000_000, (" " * 5_000 + "x") * 50, "\t \n" * 4_000]
+    tokenizer = packing.encoder(None)._tokenizer
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for k, t in enumerate(texts):
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, packing.END_ID]
+        pieces = sorted((r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows if r["doc_id"] == k)
+        assert sum(p[2] for p in pieces) == len(ids)
+        assert all(zlib.crc32(np.asarray(ids[a : a + n], "<u4").tobytes()) == c for _, a, n, c in pieces)
 
 
 def test_encoder_odd_texts():
