@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from numbers import Real
+
 import duckdb
 import pandas as pd
 import pytest
@@ -24,7 +26,7 @@ def duck(sf_dir):
 def plain(value):
     if value is None or value is pd.NA or value is pd.NaT or value != value:
         return "null"
-    return repr(float(value)) if isinstance(value, float | int) and not isinstance(value, bool) else str(value)
+    return repr(float(value)) if isinstance(value, Real) and not isinstance(value, bool) else str(value)
 
 
 def rows(frame: pd.DataFrame):
