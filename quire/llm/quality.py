@@ -10,6 +10,13 @@ A step covers all rows of all groups in one aggregation: rows are binned by the
 distance, each bin sums its vectors and outer products, and the concentration happens on the bins
 (some hundred at most for a group, whatever its size).  The trimmed subset therefore ends at a bin's
 edge: it holds the smallest whole number of bins with at least the asked share.
+
+Every language and source has its own estimate, however few its rows: a scatter of ``h`` rows counts
+as ``h`` of ``h + PRIOR_ROWS`` parts, the rest being the least deviations ``FLOOR``, so one of few rows
+changes smoothly into that of many, and no verdict depends on the size of another group.
+
+Rows stay where they are while models come to them: those of groups with more than a ``HOT``-th of
+all rows, fewer than ``HOT`` by count, by broadcast, the others by a join on the group.
 """
 
 from __future__ import annotations
@@ -20,16 +27,19 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quire.llm.common import batches, durable, utf8
 
 MIN_WORDS = 50
 #: Share of a group's rows that the estimate rests on.
 SUPPORT = 0.75
-#: Rows that a language's source needs for an estimate of its own; smaller ones of a language are pooled.
-MIN_GROUP = 200
+#: Rows that the least deviations count as in a group's scatter.
+PRIOR_ROWS = 12
+#: Groups with more than one in so many rows are joined by broadcast; there are fewer than that.
+HOT = 1_024
 STEPS = 5
 #: Bins for each doubling of a squared distance.
 BINS = 8
@@ -82,8 +92,12 @@ def statistics(text: bytes | None) -> tuple[list[int], bool, list[float]]:
 
 
 def text_statistics(docs: DataFrame, *keep: F.Column) -> DataFrame:
-    """The columns ``keep`` and, of each row's text, the base counts, base_failed and the vector x."""
-    source = docs.select(utf8("text").alias("__text"), *keep)
+    """The columns ``keep``, the row's group, and of its text the base counts, base_failed and the vector x.
+
+    A group is a language and a source, null being a value of its own.
+    """
+    group = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in ("lang", "source")]), {"ignoreNullFields": "false"})
+    source = docs.select(utf8("text").alias("__text"), *keep, F.md5(group).alias("grp"))
     names = source.columns[1:]
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -92,20 +106,24 @@ def text_statistics(docs: DataFrame, *keep: F.Column) -> DataFrame:
         failed, x = pa.array([f[1] for f in found]), pa.array([f[2] for f in found], pa.list_(pa.float64()))
         return pa.RecordBatch.from_arrays([*batch.columns[1:], *counts, failed, x], [*names, *BASE, "base_failed", "x"])
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[1:])
-    return source.mapInArrow(batches(make), f"{kinds}, {_BASE_SCHEMA}")
+    made = StructType.fromDDL(_BASE_SCHEMA)
+    return source.mapInArrow(batches(make), StructType([*source.schema.fields[1:], *made.fields]))
+
 
+def _hot(rows: DataFrame) -> DataFrame:
+    """The groups with more than one in ``HOT`` of the rows, fewer than ``HOT``."""
+    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return durable(sizes.filter(F.col("n") * HOT > total).select("grp"))
 
-def _grouped(rows: DataFrame) -> DataFrame:
-    """Add ``grp``: language and source, or the language, or all, by how many rows there are."""
-    sizes = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    small = F.col("n") < MIN_GROUP
-    pooled = F.sum(F.when(small, F.col("n")).otherwise(0)).over(Window.partitionBy("lang"))
-    own = F.to_json(F.struct("lang", "source"))
-    language = F.to_json(F.struct("lang", F.lit(True).alias("pooled")))
-    grp = F.when(~small, own).when(F.col("pool") >= MIN_GROUP, language).otherwise(F.lit("{}"))
-    sizes = sizes.withColumn("pool", pooled).select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), grp.alias("grp"))
-    return rows.join(sizes, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))).drop("g_lang", "g_source")
+
+def _with_models(rows: DataFrame, models: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` with each model of their group; no row of a hot group is shuffled."""
+    marked = rows.join(F.broadcast(hot.select("grp", F.lit(True).alias("hot"))), "grp", "left")
+    held = models.join(F.broadcast(hot), "grp", "left_semi")
+    rest = models.join(F.broadcast(hot), "grp", "left_anti")
+    near = marked.filter("hot").drop("hot").join(F.broadcast(held), "grp")
+    return near.unionByName(marked.filter("hot is null").drop("hot").join(rest, "grp"))
 
 
 def _distance(model: str) -> F.Column:
@@ -135,9 +153,15 @@ def _binned(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *sums, *outer)
 
 
-def _model_row(grp: str, start: int, centre: np.ndarray, scatter: np.ndarray, scale: float) -> dict:
-    floor = np.asarray(FLOOR)
-    scatter = scatter + np.diag(np.maximum(floor**2 - np.diag(scatter), 0))
+def regular(scatter: np.ndarray, held: int) -> np.ndarray:
+    """The scatter of ``held`` rows with least deviations, mixed with these, for a centre that is as uncertain."""
+    least = np.asarray(FLOOR) ** 2
+    scatter = scatter + np.diag(np.maximum(least - np.diag(scatter), 0))
+    return (held * scatter + PRIOR_ROWS * np.diag(least)) / (held + PRIOR_ROWS) * (1 + 1 / held)
+
+
+def _model_row(grp: str, start: int, centre: np.ndarray, scatter: np.ndarray, held: int, scale: float) -> dict:
+    scatter = regular(scatter, held)
     _, logdet = np.linalg.slogdet(scatter)
     precision = np.linalg.inv(scatter)
     return {"grp": grp, "start": start, "model": {"centre": centre.tolist(), "precision": precision.ravel().tolist(), "logdet": float(logdet), "scale": scale}}
@@ -162,8 +186,8 @@ def chi2_cut(share: float) -> float:
 _CONSISTENT = SUPPORT / (1 - math.exp(-chi2_cut(SUPPORT) / 2) * sum((chi2_cut(SUPPORT) / 2) ** k / math.factorial(k) for k in range(DIMENSIONS // 2 + 1)))
 
 
-def _concentrate(bins: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and scatter of the nearest bins that hold the asked share of a group."""
+def _concentrate(bins: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Mean, scatter and number of rows of the nearest bins that hold the asked share of a group."""
     bins = bins.sort_values("bin")
     n = bins["n"].to_numpy()
     last = int(np.searchsorted(np.cumsum(n), math.ceil(SUPPORT * n.sum()))) + 1
@@ -174,20 +198,20 @@ def _concentrate(bins: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     for name in _OUTER:
         i, j = map(int, name[1:].split("_"))
         scatter[i, j] = scatter[j, i] = held[name].sum() / total - centre[i] * centre[j]
-    return centre, scatter
+    return centre, scatter, int(total)
 
 
-def estimates(rows: DataFrame) -> DataFrame:
-    """(grp, model) of rows (grp, x): the winning estimate of each group."""
+def estimates(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """(grp, model) of rows (grp, x): the winning estimate of each group; ``hot`` are the groups to broadcast."""
     quantiles = F.percentile_approx(F.col("v"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias("q")
-    spread = rows.select("grp", F.posexplode("x").alias("i", "v")).groupBy("grp", "i").agg(quantiles)
+    spread = rows.select("grp", F.posexplode("x").alias("i", "v")).groupBy("grp", "i").agg(quantiles, F.count(F.lit(1)).alias("n"))
 
     def first(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         q = np.stack(group.sort_values("i")["q"].to_list())
         deviation = np.maximum((q[:, 2] - q[:, 0]) / 1.349, FLOOR)
-        return pd.DataFrame([_model_row(key[0], 0, q[:, 1], np.diag(deviation**2), 1.0)])
+        return pd.DataFrame([_model_row(key[0], 0, q[:, 1], np.diag(deviation**2), int(group["n"].iloc[0]), 1.0)])
 
-    start = spread.groupBy("grp").applyInPandas(first, _MODEL)
+    start = durable(spread.groupBy("grp").applyInPandas(first, _MODEL))
 
     def signs(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         """The second start: scatter of the standardised directions from the median, at its scale."""
@@ -198,21 +222,22 @@ def estimates(rows: DataFrame) -> DataFrame:
             i, j = map(int, name[1:].split("_"))
             scatter[i, j] = scatter[j, i] = row[name] / row["n"]
         scatter = scatter * DIMENSIONS * np.outer(deviation, deviation)
-        plain = _model_row(key[0], 0, np.asarray(row["centre"]), np.diag(deviation**2), 1.0)
-        return pd.DataFrame([plain, _model_row(key[0], 1, np.asarray(row["centre"]), scatter, 1.0)])
+        held = int(row["n"])
+        plain = _model_row(key[0], 0, np.asarray(row["centre"]), np.diag(deviation**2), held, 1.0)
+        return pd.DataFrame([plain, _model_row(key[0], 1, np.asarray(row["centre"]), scatter, held, 1.0)])
 
-    near = rows.join(start, "grp")
+    near = _with_models(rows, start, hot)
     norm = F.greatest(F.sqrt(_distance("model")), F.lit(1e-9))
     unit = F.array(*[(F.col("x")[i] - F.col("model.centre")[i]) * F.sqrt(F.col("model.precision")[i * (DIMENSIONS + 1)]) / F.col("norm") for i in range(DIMENSIONS)])
     directions = _binned(near.withColumn("norm", norm).select("grp", unit.alias("x")), "grp")
     models = directions.join(start.select("grp", "model.centre", "model.precision"), "grp").groupBy("grp").applyInPandas(signs, _MODEL)
 
     def step(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
-        centre, scatter = _concentrate(bins)
-        return pd.DataFrame([_model_row(key[0], int(key[1]), centre, scatter, _CONSISTENT)])
+        return pd.DataFrame([_model_row(key[0], int(key[1]), *_concentrate(bins), _CONSISTENT)])
 
+    models = durable(models)
     for _ in range(STEPS):
-        near = rows.join(models, "grp")
+        near = _with_models(rows, models, hot)
         place = F.floor(F.log2(_distance("model") + 1e-6) * BINS).cast("int")
         models = _binned(near.select("grp", "start", "x", place.alias("bin")), "grp", "start", "bin").groupBy("grp", "start").applyInPandas(step, _MODEL)
         models = durable(models)
@@ -220,38 +245,41 @@ def estimates(rows: DataFrame) -> DataFrame:
     return models.groupBy("grp").agg(best.alias("model"))
 
 
-def judge(rows: DataFrame) -> DataFrame:
-    """Rows of ``text_statistics`` (with lang and source) with ``distance`` and ``kept``.
+def judge(rows: DataFrame, models: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows of ``text_statistics`` with ``distance`` and ``kept``, under the ``fitted`` models.
 
-    Estimates rest on the rows that pass the base rules; rows that fail them are not kept, and have
-    no distance.
+    Rows that fail the base rules are not kept, and have no distance.
     """
-    cut = chi2_cut(1 - TAIL)
-    sound = _grouped(rows.filter("not base_failed"))
-    judged = sound.join(estimates(sound.select("grp", "x")), "grp").withColumn("distance", _distance("model") / F.col("model.scale"))
-    judged = judged.withColumn("kept", F.col("distance") <= cut).drop("grp", "model")
+    judged = _with_models(rows.filter("not base_failed"), models, hot).withColumn("distance", _distance("model") / F.col("model.scale"))
+    judged = judged.withColumn("kept", F.col("distance") <= chi2_cut(1 - TAIL)).drop("model")
     failed = rows.filter("base_failed").withColumns({"distance": F.lit(None).cast("double"), "kept": F.lit(False)})
     return judged.unionByName(failed)
 
 
+def fitted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The models of the groups, and the hot groups; estimates rest on the rows that pass the base rules."""
+    sound = rows.filter("not base_failed").select("grp", "x")
+    hot = _hot(sound)
+    return durable(estimates(sound, hot)), hot
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, the base counts, base_failed, kept and distance.
 
-    A null text has no words and fails, as empty ones do.  Null languages and sources are values of
-    their own.  Equal rows are judged alike; an empty table gives no rows.
+    A null text has no words and fails, as empty ones do; a text of any length is read whole.  Null
+    languages and sources are values of their own, and a group of a single row has an estimate, too.
+    Equal rows are judged alike; other columns are ignored; an empty table gives no rows.
     """
-    rows = text_statistics(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
-    return judge(durable(rows)).select("doc_id", *BASE, "base_failed", "kept", "distance")
+    rows = durable(text_statistics(docs, F.col("doc_id").cast("long").alias("doc_id")))
+    return judge(rows, *fitted(rows)).select("doc_id", *BASE, "base_failed", "kept", "distance")
 
 
 def keep_sound(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns.
+    """The rows of ``docs`` that are kept, with their columns; repeated rows stay repeated, none of an empty table.
 
-    Rows of equal text, language and source are judged alike, so the verdicts come back by a hash of
-    these; a rejected row has no kept one of its hash.
+    Statistics are taken anew where the verdict falls, so that no text is shuffled or stored for it
+    but those of groups too small to be hot.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    mark = F.xxhash64("doc_id", "text", "lang", "source")
-    rows = text_statistics(docs, mark.alias("mark"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
-    out = judge(durable(rows)).filter("not kept").select("mark").distinct()
-    return docs.select(F.struct(*columns).alias("row"), mark.alias("mark")).join(out, "mark", "left_anti").select("row.*")
+    models = fitted(durable(text_statistics(docs).select("grp", "base_failed", "x")))
+    rows = text_statistics(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).filter("not base_failed")
+    return judge(rows, *models).filter("kept").select("row.*")

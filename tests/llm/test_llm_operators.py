@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -81,8 +83,8 @@ def test_each_statistic_can_reject(spark):
     rows = [(k, (centre + spread * r.normal(size=6)).tolist()) for k in range(300)]
     for i, v in enumerate(far):
         rows += [(1000 + i, [*centre[:i].tolist(), v, *centre[i + 1 :].tolist()]), (2000 + i, [*centre[:i].tolist(), (centre[i] + v) / 2, *centre[i + 1 :].tolist()])]
-    frame = spark.createDataFrame([(k, "en", "s", False, list(map(float, x))) for k, x in rows], "doc_id long, lang string, source string, base_failed boolean, x array<double>")
-    assert {r["doc_id"] for r in quality.judge(frame).filter("not kept").collect()} == {1000 + i for i in range(6)}
+    frame = spark.createDataFrame([(k, "g", False, list(map(float, x))) for k, x in rows], "doc_id long, grp string, base_failed boolean, x array<double>")
+    assert {r["doc_id"] for r in quality.judge(frame, *quality.fitted(frame)).filter("not kept").collect()} == {1000 + i for i in range(6)}
 
 
 def test_repetitive_text_is_rejected(spark):
@@ -99,12 +101,51 @@ def test_estimate_is_the_determinant_minimum(spark):
     r = np.random.default_rng(3)
     clean = r.normal(0, 1, (400, quality.DIMENSIONS))
     rows = [("g", x.tolist()) for x in np.concatenate([clean, np.full((80, quality.DIMENSIONS), 25.0)])]
-    model = quality.estimates(spark.createDataFrame(rows, "grp string, x array<double>")).first()["model"]
+    frame = spark.createDataFrame(rows, "grp string, x array<double>")
+    model = quality.estimates(frame, quality._hot(frame)).first()["model"]
     assert np.abs(np.asarray(model["centre"])).max() < 0.3
     scatter = np.linalg.inv(np.asarray(model["precision"]).reshape(quality.DIMENSIONS, -1)) * model["scale"]
     assert np.abs(scatter - np.eye(quality.DIMENSIONS)).max() < 0.5
 
 
+@pytest.mark.parametrize("hot", [quality.HOT, 1])
+def test_small_groups_against_all_subsets(spark, monkeypatch, hot):
+    """Groups of up to 16 rows: the estimate is that of the subset of least determinant, sought among all; hot or not."""
+    monkeypatch.setattr(quality, "BINS", 1 << 20)  # bins of single rows
+    monkeypatch.setattr(quality, "HOT", hot)
+    r, rows, expected = np.random.default_rng(8), [], {}
+    for g, n in enumerate((10, 12, 13, 16)):
+        h = math.ceil(quality.SUPPORT * n)
+        x = np.concatenate([r.normal(0, 1, (h, quality.DIMENSIONS)), 30 + r.normal(0, 1, (n - h, quality.DIMENSIONS))])
+        rows += [(f"g{g}", v.tolist()) for v in x]
+        scatters = {c: np.cov(x[list(c)], rowvar=False, bias=True) for c in combinations(range(n), h)}
+        least = min(scatters, key=lambda c: np.linalg.slogdet(quality.regular(scatters[c], h))[1])
+        expected[f"g{g}"] = x[list(least)].mean(0), quality.regular(scatters[least], h)
+    frame = spark.createDataFrame(rows, "grp string, x array<double>")
+    found = {m["grp"]: m["model"] for m in quality.estimates(frame, quality._hot(frame)).collect()}
+    assert found.keys() == expected.keys()
+    for g, (centre, scatter) in expected.items():
+        assert np.allclose(found[g]["centre"], centre) and np.allclose(np.linalg.inv(np.reshape(found[g]["precision"], scatter.shape)), scatter)
+
+
+def test_groups_do_not_meet(spark):
+    """A verdict does not depend on other groups, and null languages and sources are values of their own."""
+    own = [(k, prose(150, 100 + k), None, None, 0, *[None] * 6) for k in range(20)] + [(99, " ".join(w + "#*|" for w in prose(150, 7).split()), None, None, 0, *[None] * 6)]
+    others = [(1000 + k, " ".join(w + "#*|" for w in prose(150, 300 + k).split()), *key, 0, *[None] * 6) for k in range(60) for key in [[("xx", "y"), ("null", None), (None, "null"), ("", "")][k % 4]]]
+    alone, mixed = ({r["doc_id"]: (r["kept"], r["distance"]) for r in quality.quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()} for rows in (own, own + others))
+    assert all(alone[k][0] == mixed[k][0] == (k != 99) and alone[k][1] == pytest.approx(mixed[k][1]) for k, *_ in own)
+    assert all(mixed[k][0] for k, *_ in others)
+    single = quality.quality_rules(spark.createDataFrame(own[:1], SCHEMA)).collect()
+    assert [(r["kept"], r["distance"]) for r in single] == [(True, 0.0)]
+
+
+def test_sound_rows_stay(spark, docs):
+    out = quality.keep_sound(docs)
+    kept = Counter((r["doc_id"], r["n_words"]) for r in quality.quality_rules(docs).filter("kept").collect())
+    assert out.columns == docs.columns and Counter((r["doc_id"], len(WORD.findall(r["text"]))) for r in out.collect()) == kept
+    assert quality.keep_sound(nothing(spark)).count() == 0
+
+
 def test_chi_square():
     assert quality.chi2_cut(0.95) == pytest.approx(12.5916, abs=1e-3)
 
