@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words of the decontamination contract, on lower-cased UTF-8 bytes.
@@ -34,7 +35,7 @@ def alnum_words(text: bytes | None) -> list[bytes]:
     return ALNUM_WORD.findall(text.lower()) if text else []
 
 
-def utf8(column: str) -> F.Column:
+def utf8(column: str) -> Column:
     """A text column as bytes, whatever type it came with."""
     return F.col(column).cast("string").cast("binary")
 
@@ -52,10 +53,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return found
 
 
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new folder in the shared one; it is removed when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/quire-{kind}-{uuid.uuid4().hex}"
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(jvm_path)
+    files.deleteOnExit(jvm_path)
+    return path
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder now and go on from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared checkpoint folder now and go on from there.
+
+    A written table rather than a checkpoint: its size is known, so later joins plan with it, while the
+    estimates of a checkpoint of joins multiply from round to round.
+    """
+    path = scratch(df.sparkSession, "table")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -73,3 +89,38 @@ def batches(
                 yield out
 
     return run
+
+
+#: A key with more than one in so many rows is hot; there are fewer hot keys than that.
+HOT = 1_024
+
+
+def hot_keys(sizes: DataFrame, key: str, total: int) -> DataFrame:
+    """(key, parts) of the hot keys of ``sizes`` (key, n); ``parts`` is how many shares of a ``HOT``-th of ``total`` rows a key has."""
+    return sizes.filter(F.col("n") * HOT > total).select(key, F.ceil(F.col("n") * HOT / F.lit(total)).cast("int").alias("parts"))
+
+
+def dealt_join(rows: DataFrame, unique: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``rows`` joined with ``unique``, one row for each ``key``; rows of a hot key (key, parts) are dealt to its parts.
+
+    Only the rows of ``unique`` of hot keys are repeated, fewer than twice ``HOT`` in all, and only the
+    list of hot keys is broadcast.
+    """
+    shares = F.broadcast(hot)
+    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.coalesce("parts", F.lit(1)))
+    left = rows.join(shares, key, "left").withColumn("__part", deal.cast("int")).drop("parts")
+    right = unique.join(shares, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    return left.join(right, [key, "__part"]).drop("__part")
+
+
+def row_key(docs: DataFrame) -> Column:
+    """Key of a row: doc_id, null ids last, then the hash of the whole row."""
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), mark.alias("mark"))
+
+
+def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each key of ``kept``, with all columns."""
+    packed = docs.select(row_key(docs).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # equal rows become one within tasks first; the join then finds them where they are
+    return packed.dropDuplicates(["key"]).join(kept, "key", "left_semi").select("row.*")

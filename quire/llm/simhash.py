@@ -15,15 +15,15 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import batches, durable, utf8, words
+from quire.llm import minhash
+from quire.llm.common import batches, dealt_join, durable, hot_keys, row_key, rows_of, utf8, words
 from quire.llm.components import connected_components
 
 SEED = 42
 SHINGLE = 3
-DISTANCE = 2
 #: Fingerprints at one meeting place that are compared pair by pair.
 GROUP = 16
 _CHUNK = 1 << 18
@@ -95,7 +95,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
 
 def classes(rows: DataFrame) -> DataFrame:
     """``rows`` (doc_id, fp and any others) with component_id and class_fp, the class's least fp."""
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    distinct = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
+    total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     linked = connected_components(close_pairs(distinct.select("fp")))
     named = distinct.join(linked.withColumnRenamed("node", "fp"), "fp").select("fp", "least", "component")
     least = named.groupBy("component").agg(F.min("least").alias("found"))
@@ -105,29 +106,19 @@ def classes(rows: DataFrame) -> DataFrame:
         F.when(F.col("moved").isNull(), F.col("least")).otherwise(F.col("found")).alias("component_id"),
         F.coalesce("moved", "fp").alias("class_fp"),
     )
-    # written, so that both sides are shuffled anew: adaptive execution can then split a hot fingerprint
-    return rows.join(durable(names), "fp")
+    return dealt_join(rows, names, "fp", hot_keys(distinct, "fp", total))
 
 
-def row_key(docs: DataFrame) -> Column:
-    """Key of a row: doc_id, null ids last, then the hash of the whole row."""
-    mark = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    return F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), mark.alias("mark"))
-
-
-def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each key of ``kept``, with all columns."""
-    packed = docs.select(row_key(docs).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    # the join leaves equal rows side by side, so counting them needs no further shuffle
-    same = Window.partitionBy("key").orderBy(F.lit(1))
-    out = packed.join(kept, "key").withColumn("turn", F.row_number().over(same)).filter("turn = 1")
-    return out.select("row.*")
-
-
-def keep_representatives(docs: DataFrame) -> DataFrame:
+def keep_representatives(docs: DataFrame, *, similarity: bool = False) -> DataFrame:
     """One row of every class of near-duplicates, with all columns of ``docs``: the one of the least
     doc_id, null ids last, then of the least hash of the whole row.  Rows without words form a class
-    and keep one row, too."""
+    and keep one row, too; an empty table keeps none.
+
+    Classes are those of ``near_duplicates``, or with ``similarity`` those of five-word shingles with
+    a similarity of 0.8 or more, for which ``quire.llm.minhash`` finds the pairs.
+    """
+    if similarity:
+        return minhash.keep_representatives(docs)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.asarray([fingerprint(t) for t in batch.column(3).to_pylist()], dtype=np.uint64)

@@ -601,10 +601,27 @@ def test_representatives(spark, docs):
     assert {r["doc_id"] for r in out.collect()} == set(naive_classes(prints))
 
 
+def test_block_pairs(spark):
+    """Signatures compared in blocks give the pairs that all pairs give."""
+    r = np.random.default_rng(2)
+    base = r.integers(0, 256, 96, dtype=np.uint8)
+    signs = [np.where(r.random(96) < r.choice([0.1, 0.3, 0.5]), r.integers(0, 256, 96, dtype=np.uint8), base) for _ in range(60)]
+    nodes = [((False, k, 0), bytes(s)) for k, s in enumerate(signs)]
+    signatures = spark.createDataFrame(nodes, "node struct<none:boolean,id:long,mark:long>, signature binary")
+    rest = spark.createDataFrame([(p, n) for p, upto in ((1, 60), (2, 7), (3, 1)) for n, _ in nodes[:upto]], "place long, node struct<none:boolean,id:long,mark:long>")
+    expected = {(a, b) for b in range(60) for a in range(b) if np.count_nonzero(signs[a] == signs[b]) >= minhash.AGREEING}
+    for block in (7, 512):
+        minhash.BLOCK, kept = block, minhash.BLOCK
+        found = minhash._block_pairs(rest, signatures).collect()
+        minhash.BLOCK = kept
+        assert {tuple(sorted((x["a"]["id"], x["b"]["id"]))) for x in found} == expected and 100 < len(expected) < 1700
+
+
 @pytest.mark.parametrize("group", [minhash.GROUP, 2])
 def test_similar_texts(spark, docs, monkeypatch, group):
     """Near copies of similarity 0.8 or more on five words, against all pairs."""
     monkeypatch.setattr(minhash, "GROUP", group)
+    monkeypatch.setattr(minhash, "BLOCK", 3 * group)
     r, texts = random.Random(11), []
     for k in range(12):
         base = prose(200, 900 + k).split()
@@ -626,7 +643,8 @@ def test_similar_texts(spark, docs, monkeypatch, group):
     out = minhash.keep_representatives(frame.unionByName(frame.filter("doc_id < 9")))
     kept = sorted(x["doc_id"] for x in out.collect())
     assert out.columns == frame.columns and set(kept) >= set(parent) and len(set(kept)) == len(kept)
-    assert not any(near(sets[a], sets[b]) for a in kept for b in kept if a < b)
+    assert all(any(near(sets[a], sets[b]) for b in range(len(texts)) if b != a) for a in set(range(len(texts))) - set(kept))
+    assert group == 2 or not any(near(sets[a], sets[b]) for a in kept for b in kept if a < b)
     assert group == 2 or kept == sorted(set(parent))
     assert minhash.keep_representatives(nothing(spark)).count() == 0
     assert {x["doc_id"] for x in minhash.keep_representatives(docs).collect()} >= {0, 4, 7, 8, 9, 10, 11, 12}
