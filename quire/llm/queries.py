@@ -31,7 +31,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secrets.scan_paths(table(spark, sf_dir, "documents"))
+    found = secrets.scan_paths(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
 
     def number(kind: str) -> F.Column:

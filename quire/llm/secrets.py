@@ -3,7 +3,10 @@
 Every version of every path is addressed by the SHA-256 of its text.  A ledger row says that a blob
 was scanned under a rule version, and what was found.  A run computes the addresses of all versions,
 leaves out those that the ledger has, scans each remaining blob once, whatever number of paths it
-has, and joins findings back to all paths.
+has, appends what it found to the ledger, and joins findings back to all paths.
+
+A ledger is a folder of Parquet tables, one for each run.  The session names it in ``LEDGER``; a run
+without that setting starts an empty one in the shared folder, so it scans every blob.
 
 Blobs are made distinct within each task before their shuffle, so one that a third of all paths
 share costs one row for each task, and paths travel without their text.
@@ -12,17 +15,20 @@ share costs one row for each task, and paths travel without their text.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import durable, utf8
+from quire.llm.common import dealt_join, durable, hot_keys, scratch, utf8
 
 #: Raise it with any change of the rules: blobs are then scanned anew.
 RULE_VERSION = 1
+#: Setting of the session that names the folder of a ledger to go on with.
+LEDGER = "spark.quire.secrets.ledger"
 
 _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
 #: Kind and pattern, in the order of kinds; the first three are the base rules, on UTF-8 bytes.
@@ -107,23 +113,51 @@ def blob_of(column: str = "text") -> F.Column:
     return F.unhex(F.sha2(F.coalesce(utf8(column), F.lit(b"")), 256))
 
 
-def scan_paths(docs: DataFrame, ledger: DataFrame | None = None, *, version: int = RULE_VERSION) -> tuple[DataFrame, DataFrame]:
-    """Findings of every path, (doc_id, blob, spans), and the ledger with this run's rows.
+def ledger_path(spark: SparkSession) -> str:
+    """The folder that the session names, or a new one."""
+    return spark.conf.get(LEDGER, None) or scratch(spark, "ledger")
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """(blob, version, spans) of all runs so far; none of a folder without any."""
+    schema = f"blob binary, version int, spans {SPANS}"
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
+def update_ledger(docs: DataFrame, path: str, *, version: int = RULE_VERSION) -> DataFrame:
+    """Scan what the ledger in ``path`` has not, append it as a table of its own, and return the ledger.
+
+    A run that fails leaves no row: a table counts with its last file's commit.
+    """
+    spark = docs.sparkSession
+    scan(docs, read_ledger(spark, path), version=version).write.parquet(f"{path}/run-{uuid.uuid4().hex}")
+    return read_ledger(spark, path)
+
+
+def scan_paths(docs: DataFrame, path: str | None = None, *, version: int = RULE_VERSION) -> DataFrame:
+    """Findings of every path, (doc_id, blob, spans), over the ledger in ``path`` or the session's.
 
     Repeated paths come out as often as they came in, each with its own version's findings; an empty
     table gives no rows.
     """
-    fresh = durable(scan(docs, ledger, version=version))
-    known = fresh if ledger is None else fresh.unionByName(ledger.select("blob", "version", "spans"))
-    paths = docs.select(F.col("doc_id").cast("long").alias("doc_id"), blob_of().alias("blob"))
-    return paths.join(known.filter(F.col("version") == version).select("blob", "spans"), "blob"), known
+    ledger = update_ledger(docs, path or ledger_path(docs.sparkSession), version=version)
+    paths = durable(docs.select(F.col("doc_id").cast("long").alias("doc_id"), blob_of().alias("blob")))
+    sizes = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("n"))
+    # runs that overlap in time may both have scanned a blob
+    known = ledger.filter(F.col("version") == version).groupBy("blob").agg(F.first("spans").alias("spans"))
+    return dealt_join(paths, known, "blob", durable(hot_keys(sizes, "blob", paths.count())))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every finding replaced by ``[REDACTED]``, overlapping ones by a single one, and
-    n_chars, where there is one, of the new text.  Other rows and columns stay as they are."""
+    n_chars, where there is one, of the new text.  Other rows and columns stay as they are, null and
+    empty texts, too; an empty table stays empty."""
     columns = docs.columns
-    found = scan_paths(docs)[1].filter("size(spans) > 0").select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
+    ledger = update_ledger(docs, ledger_path(docs.sparkSession)).filter((F.col("version") == RULE_VERSION) & (F.size("spans") > 0))
+    found = durable(ledger.groupBy("blob").agg(F.first("spans").alias("spans")).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"), blob_of().alias("__blob"))
     cut = F.expr(
         "aggregate(__spans, named_struct('out', '', 'last', 0), (a, s) -> named_struct("

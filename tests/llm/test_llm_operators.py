@@ -232,10 +232,10 @@ def naive_spans(text):
 
 
 def test_secrets(spark, docs):
-    rows = secrets.scan_paths(docs)[0].collect()
+    rows = secrets.scan_paths(docs).collect()
     found = [(r["doc_id"], tuple(f"{s['kind']}:{s['start']}:{s['end']}" for s in r["spans"] if s["kind"] in secrets.BASE_KINDS)) for r in rows]
     same(found, [(i, tuple(naive_spans(t))) for i, t in TEXTS])
-    assert secrets.scan_paths(nothing(spark))[0].count() == 0
+    assert secrets.scan_paths(nothing(spark)).count() == 0
 
 
 def test_added_rules():
@@ -245,15 +245,25 @@ def test_added_rules():
     assert text[found[0]["start"] : found[0]["end"]].startswith("-----BEGIN")
 
 
-def test_ledger_is_incremental(spark, docs):
-    _, ledger = secrets.scan_paths(docs)
-    distinct = len({t or "" for _, t in TEXTS})
-    assert ledger.count() == distinct
+def test_ledger_is_incremental(spark, docs, tmp_path):
+    """A second run over the same ledger scans only blobs, or versions of the rules, that it has not seen."""
+    path, distinct = str(tmp_path / "ledger"), len({t or "" for _, t in TEXTS})
+
+    def runs():
+        return sorted(spark.read.parquet(str(p)).count() for p in (tmp_path / "ledger").glob("run-*"))
+
+    first = secrets.scan_paths(docs, path).collect()
+    assert runs() == [distinct]
+    same(map(str, secrets.scan_paths(docs, path).collect()), map(str, first))
+    assert runs() == [0, distinct]
     more = docs.unionByName(spark.createDataFrame([(99, "token=abcdefgh", *[None] * 9)], SCHEMA))
-    assert secrets.scan(more, ledger).count() == 1
-    assert secrets.scan(more, ledger, version=2).count() == distinct + 1
-    found, after = secrets.scan_paths(more, ledger)
-    assert found.count() == len(TEXTS) + 1 and after.count() == distinct + 1
+    assert secrets.scan_paths(more, path).count() == len(TEXTS) + 1 and runs() == [0, 1, distinct]
+    assert secrets.scan_paths(more, path, version=2).count() == len(TEXTS) + 1 and runs() == [0, 1, distinct, distinct + 1]
+    spark.conf.set(secrets.LEDGER, path)
+    try:
+        assert secrets.redact(more).count() == len(TEXTS) + 1 and runs() == [0, 0, 1, distinct, distinct + 1]
+    finally:
+        spark.conf.unset(secrets.LEDGER)
 
 
 def test_redaction(spark, docs):

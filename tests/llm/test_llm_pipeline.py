@@ -17,7 +17,7 @@ def test_stages_and_run(spark, sf_dir):
     assert counts[0] > counts[1] > counts[2] >= counts[3] == counts[4] > 0
     assert docs.select("doc_id").distinct().count() == docs.count()
     assert decontaminate.benchmark_matches(docs, table(spark, sf_dir, "benchmark")).filter("n_hit > 0").count() == 0
-    assert secrets.scan_paths(docs)[0].filter("size(spans) > 0").count() == 0
+    assert secrets.scan_paths(docs).filter("size(spans) > 0").count() == 0
     assert docs.filter("length(text) <> n_chars").count() == 0
     expected = {(r["doc_id"], r["piece"], r["ids_crc32"]) for r in packing.pack(docs).collect()}
     assert {(r["doc_id"], r["piece"], r["ids_crc32"]) for r in corpus_pipeline.run(spark, sf_dir).collect()} == expected
