@@ -1,21 +1,22 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-Documents are indexed in segments of some million words: each holds, for every term that the
-benchmark uses, the sorted positions of the term in the segment.  Segments are written to the shared
-folder once; a search reads them where they lie, so neither texts nor postings are shuffled.  Within
-a segment a benchmark window starts from the postings of its rarest term (by frequency over the
-whole corpus) and intersects the others' offset-adjusted lists in order of rarity: what is left are
-the exact phrase matches.  A proximity match asks that all words of a window occur, in any order,
-within its length plus ``slop`` words.
+Documents are indexed in segments of some million words: each holds, for every term, the sorted
+positions of the term in the segment.  Segments are written once; any number of searches read them
+where they lie, so neither texts nor postings are shuffled.  Within a segment a benchmark window
+starts from the postings of its rarest term (by frequency over the whole corpus) and intersects the
+others' offset-adjusted lists in order of rarity: what is left are the exact phrase matches.  A
+proximity match asks that all words of a window occur, in any order, within its length plus ``slop``
+words.
 
 The benchmark is the query side.  It is taken in blocks of ``BLOCK_BYTES`` of text, each of which
-is sent to the executors, so that neither their memory nor the driver's depends on its size.
+is sent to the executors, so that neither their memory nor the driver's depends on its size; all
+blocks search the same index, and another benchmark can be searched in it later.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -30,7 +31,7 @@ WINDOW = 8
 SLOP = 4
 #: Items that a document must hold windows of to count as contaminated.
 CONTAMINATED_ITEMS = 2
-SEGMENT_WORDS = 2_000_000
+SEGMENT_WORDS = 1_000_000
 BLOCK_BYTES = 4_000_000
 #: Empty positions between the documents of a segment, more than any match spans.
 GAP = 64
@@ -39,22 +40,24 @@ SEGMENT = "task int, part int, doc_ids array<long>, starts array<long>, lengths
 MATCHES = "task int, part int, nth int, doc_id long, n_words long, items array<string>, near array<string>, spans array<struct<start:int,end:int>>"
 
 
-def positional_index(docs: DataFrame, vocabulary: set[bytes] | None = None, *, segment_words: int = SEGMENT_WORDS) -> DataFrame:
-    """Segments with the postings of ``vocabulary``'s terms, or of all terms."""
-    ids = None if vocabulary is None else {w: k for k, w in enumerate(sorted(vocabulary))}
+def positional_index(docs: DataFrame, *, segment_words: int = SEGMENT_WORDS) -> DataFrame:
+    """Segments of (doc_id, text) with the postings of all terms.
+
+    (task, part) tells segments apart once they are written: write the index before it is searched.
+    """
 
     def build(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, part = TaskContext.get().partitionId(), 0
-        own: dict[bytes, int] = {} if ids is None else ids
+        own: dict[bytes, int] = {}
         doc_ids, starts, lengths, terms, at, size = [], [], [], [], [], 0
 
         def segment() -> pa.RecordBatch:
             names = list(own)
             term = np.concatenate(terms) if terms else np.empty(0, np.int32)
             order = np.argsort(term, kind="stable")
-            found, freqs = np.unique(term, return_counts=True)
+            freqs = np.bincount(term, minlength=len(names))
             positions = (np.concatenate(at) if at else np.empty(0, np.int32))[order]
-            row = (task, part, doc_ids, starts, lengths, [names[k] for k in found], freqs.tolist(), positions.tobytes())
+            row = (task, part, doc_ids, starts, lengths, names, freqs.tolist(), positions.tobytes())
             kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary())
             columns = [pa.array([x], k) for x, k in zip(row, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SEGMENT.split(", ")])
@@ -62,23 +65,16 @@ def positional_index(docs: DataFrame, vocabulary: set[bytes] | None = None, *, s
         for batch in source:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = alnum_words(text)
-                if ids is None:
-                    term = np.fromiter((own.setdefault(w, len(own)) for w in found), np.int32, len(found))
-                else:
-                    term = np.fromiter(map(own.get, found, repeat(-1)), np.int32, len(found))
-                place = np.flatnonzero(term >= 0)
+                terms.append(np.fromiter((own.setdefault(w, len(own)) for w in found), np.int32, len(found)))
+                at.append(np.arange(size, size + len(found), dtype=np.int32))
                 doc_ids.append(doc_id)
                 starts.append(size)
                 lengths.append(len(found))
-                terms.append(term[place])
-                at.append((place + size).astype(np.int32))
                 size += len(found) + GAP
                 if size > segment_words:
                     yield segment()
                     part, size = part + 1, 0
-                    doc_ids, starts, lengths, terms, at = [], [], [], [], []
-                    if ids is None:
-                        own = {}
+                    doc_ids, starts, lengths, terms, at, own = [], [], [], [], [], {}
         if doc_ids:
             yield segment()
 
@@ -152,16 +148,17 @@ def search(index: DataFrame, items: list[tuple[str, bytes | None]], *, window: i
 
     def find(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for row in batch.to_pylist():
-                yield _matches(row, by_rarest, names, slop)
+            for k in range(batch.num_rows):
+                yield _matches(batch.slice(k, 1).to_pydict(), by_rarest, vocabulary, names, slop)
 
     return index.mapInArrow(find, MATCHES)
 
 
-def _matches(row: dict, by_rarest: dict[bytes, list[Window]], names: list[str], slop: int | None) -> pa.RecordBatch:
+def _matches(segment: dict, by_rarest: dict[bytes, list[Window]], vocabulary: set[bytes], names: list[str], slop: int | None) -> pa.RecordBatch:
+    row = {name: values[0] for name, values in segment.items()}
     edges = np.concatenate([[0], np.cumsum(row["freqs"])]).astype(np.int64)
     positions = np.frombuffer(row["postings"], np.int32)
-    lists = {t: positions[a:b].astype(np.int64) for t, a, b in zip(row["terms"], edges, edges[1:], strict=False)}
+    lists = {t: positions[edges[k] : edges[k + 1]].astype(np.int64) for k, t in enumerate(row["terms"]) if t in vocabulary}
     starts, lengths = np.asarray(row["starts"], np.int64), np.asarray(row["lengths"], np.int64)
     n = len(starts)
     covered = np.zeros(int(starts[-1] + lengths[-1]) + 1, np.int32)
@@ -217,32 +214,24 @@ def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[str, bytes | Non
         yield block
 
 
-def benchmark_matches(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, slop: int | None = SLOP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def benchmark_matches(
+    docs: DataFrame, items: DataFrame, *, index: DataFrame | None = None, window: int = WINDOW, slop: int | None = SLOP, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """One row per document: doc_id, n_words, items, near and n_hit, the words inside exact matches.
 
+    ``index`` is the written index of ``docs``; without one it is made here, from texts read once.
     Null texts have no words, on either side; items of equal or null id count as one (null: named by
-    the empty string).  Repeated documents come out as often as they came in.  Without items every
-    document is clean; without documents there are no rows.
+    the empty string).  Texts of any length are indexed whole.  Repeated documents come out as often
+    as they came in.  Without items every document is clean; without documents there are no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts: list[DataFrame] = []
-    blocks = _blocks(items, block_bytes)
-    block, following = next(blocks, []), next(blocks, None)
-    if following is not None:
-        docs = durable(docs)  # rows keep their places from block to block
-    while True:
-        index = durable(positional_index(docs, {w for _, text in block for w in alnum_words(text)}))
-        found = search(index, block, window=window, slop=slop)
-        parts.append(found if following is None and not parts else durable(found))
-        if following is None:
-            break
-        block, following = following, next(blocks, None)
+    if index is None:
+        index = durable(positional_index(docs))
+    parts = [search(index, block, window=window, slop=slop) for block in _blocks(items, block_bytes)] or [search(index, [], window=window, slop=slop)]
     out = parts[0]
     if len(parts) > 1:
-        for more in parts[1:]:
-            out = out.unionByName(more)
-        lists = [F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("items", "near")]
-        out = out.groupBy("task", "part", "nth").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), *lists, F.flatten(F.collect_list("spans")).alias("spans"))
+        lists = [F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("items", "near")]  # an entry for each block
+        met = reduce(DataFrame.unionByName, map(durable, parts))
+        out = met.groupBy("task", "part", "nth").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), *lists, F.flatten(F.collect_list("spans")).alias("spans"))
     n_hit = F.expr(
         "aggregate(array_sort(spans), struct(0L as n, 0 as last), "
         "(a, s) -> struct(a.n + greatest(s.end - greatest(s.start, a.last), 0) as n, greatest(a.last, s.end) as last), a -> a.n)"
@@ -251,7 +240,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, *, window: int = WINDOW
 
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without any window of the benchmark, with their columns.
+    """The rows of ``docs`` without any window of the benchmark, with their columns; none of an empty table.
 
     A document with a window of a single item has leaked that item, so a filter is stricter here than
     the ``contaminated`` mark of the query, which asks for two items.
@@ -259,5 +248,6 @@ def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     columns = [F.col(f"`{c}`") for c in docs.columns]
     mark = F.xxhash64("doc_id", "text")
     marked = docs.select(mark.alias("doc_id"), "text")
-    out = benchmark_matches(marked, items, slop=None).filter("n_hit > 0").select(F.col("doc_id").alias("mark")).distinct()
+    # written, so that its size is known: texts are shuffled for the join only where the marks are too many to broadcast
+    out = durable(benchmark_matches(marked, items, slop=None).filter("n_hit > 0").select(F.col("doc_id").alias("mark")).distinct())
     return docs.select(F.struct(*columns).alias("row"), mark.alias("mark")).join(out, "mark", "left_anti").select("row.*")

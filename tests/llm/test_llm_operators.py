@@ -15,6 +15,7 @@ import numpy as np
 import pytest
 import xxhash
 from quire.llm import decontaminate, licenses, minhash, packing, quality, secrets, simhash, substrings, tokencount, toxicity, urls
+from quire.llm.common import durable
 from quire.llm.components import connected_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, kept string, blob string, grp int, mark string, component_id long"
@@ -216,9 +217,14 @@ def test_proximity(spark):
 
 
 def test_full_index_has_all_terms(spark, docs):
-    index = decontaminate.positional_index(docs, segment_words=500)
+    index = durable(decontaminate.positional_index(docs, segment_words=500))
     total = sum(sum(r["freqs"]) for r in index.collect())
     assert total == sum(len(alnum(t)) for _, t in TEXTS) and index.count() > 1
+    for items in (ITEMS, [(9, "alpha"), (8, BASE[50:300])]):  # two benchmarks, one index, no texts
+        frame = spark.createDataFrame(items, "item_id long, text string")
+        for block in (100, 10_000_000):
+            rows = decontaminate.benchmark_matches(None, frame, index=index, block_bytes=block).collect()
+            same([(r["doc_id"], r["n_words"], r["n_hit"], tuple(sorted(r["items"]))) for r in rows], [(i, *naive_matches(t, items)) for i, t in TEXTS])
 
 
 def naive_spans(text):
