@@ -10,7 +10,9 @@ cover is a union of maximal exact repeats.
 Keys never meet pairwise: a key or window is reduced to its least doc_id, first within a group of
 documents, then over all groups, so that a passage of a third of all documents costs one entry for
 each group.  Entries travel packed, a binary row for each group of documents and bucket of keys.
-Texts are shuffled once, by group; the three steps that need them share that exchange.
+Texts are shuffled once, by group; the three steps that need them share that exchange.  There are as
+many groups and buckets as it takes for a group to hold ``GROUP_BYTES`` of text, so that what a task
+holds does not grow with the input.
 """
 
 from __future__ import annotations
@@ -23,10 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import shuffle_partitions, utf8, words
+from quire.llm.common import batches, shuffle_partitions, utf8, words
 
 WINDOW = 50
 BLOCK = WINDOW // 2
+#: Text of a group of documents.
+GROUP_BYTES = 24_000_000
+#: Bits of a block's key: of 10^13 windows about one in 10^4 is an anchor by chance, and extension drops it.
+KEY_BITS = 52
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so they have inverses
 
 
@@ -75,10 +81,27 @@ class Rolled:
         return _mix((self._sums[:, length:] - self._sums[:, :-length]) * self._down[:, :n])
 
 
-def _keys(rolled: Rolled, block: int, buckets: int) -> np.ndarray:
-    """Of each rolling block window: bucket in the high, rest of the key in the low 32 bits."""
-    h = rolled.hashes(block)[0]
-    return (((h >> np.uint64(32)) * np.uint64(buckets)) & np.uint64(0xFFFFFFFF00000000)) | (h & np.uint64(0xFFFFFFFF))
+def _keys(rolled: Rolled, block: int) -> np.ndarray:
+    """The key of each rolling block window."""
+    return rolled.hashes(block)[0] >> np.uint64(64 - KEY_BITS)
+
+
+def _bucket(hashes: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """The bucket of each hash of so many bits; buckets are ranges of hashes."""
+    return (((hashes >> np.uint64(bits - 32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as the steps between them, byte by byte of all: the high bytes are mostly zero and cost nothing."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return steps.view(np.uint8).reshape(-1, 8).T[: -(-KEY_BITS // 8)].tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(packed, np.uint8).reshape(-(-KEY_BITS // 8), -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, : len(planes)] = planes.T
+    return np.cumsum(steps.view(np.uint64)[:, 0], dtype=np.uint64)
 
 
 def _runs(changed: np.ndarray) -> np.ndarray:
@@ -98,6 +121,13 @@ def _texts(table: pa.Table) -> Iterator[tuple[int | None, bytes | None]]:
         yield from zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
 
 
+def _uncut(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows that no window can cut."""
+    kept = [words(t) for t in batch.column(1).to_pylist()]
+    rows = [(doc_id, len(w), 0, [], b" ".join(w)) for doc_id, w in zip(batch.column(0).to_pylist(), kept, strict=True)]
+    return _table(rows, CUT, CUT_TYPES).combine_chunks().to_batches()[0]
+
+
 def repeated_passages(docs: DataFrame, *, window: int = WINDOW, groups: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, spans (word ranges) and kept_text.
 
@@ -107,18 +137,20 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, groups: int | No
     reference nor cut.  Null texts have no words; an empty table gives no rows.
     """
     block = window // 2
-    spark = docs.sparkSession
-    buckets = shuffle_partitions(spark)
-    groups = groups or 2 * buckets
-    grouped = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
-    grouped = grouped.withColumn("grp", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(groups)).cast("int"))
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
+    if groups is None:
+        size = every.agg(F.sum(F.length("text"))).first()[0] or 0
+        groups = max(2 * shuffle_partitions(docs.sparkSession), -(-size // GROUP_BYTES))
+    buckets = groups
+    known = every.filter("doc_id is not null")
+    grouped = known.withColumn("grp", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(groups)).cast("int"))
 
     def probe(table: pa.Table) -> pa.Table:
         """Distinct keys of a group: are they a block here (1), do several documents have them (2)?"""
         grp = table.column("grp")[0].as_py()
         keys, owners, blocks = [], [], []
         for nth, (doc_id, text) in enumerate(_texts(table)):
-            if doc_id is not None and len(k := _keys(Rolled(text), block, buckets)):
+            if len(k := _keys(Rolled(text), block)):
                 keys.append(k)
                 owners.append(np.full(len(k), nth, np.int32))
                 blocks.append(np.arange(len(k)) % block == 0)
@@ -132,15 +164,14 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, groups: int | No
             several = np.minimum.reduceat(owner, at) != np.maximum.reduceat(owner, at)
             flags = np.logical_or.reduceat(is_block, at).astype(np.uint8) + 2 * several.astype(np.uint8)
             key = key[at]
-            for k, s in _by_bucket((key >> np.uint64(32)).astype(np.int64), buckets):
-                rows.append((k, grp, key[s].astype(np.uint32).tobytes(), np.packbits(np.unpackbits(flags[s, None], axis=1)[:, 6:]).tobytes()))
+            for k, s in _by_bucket(_bucket(key, KEY_BITS, buckets), buckets):
+                rows.append((k, grp, _packed(key[s]), np.packbits(np.unpackbits(flags[s, None], axis=1)[:, 6:]).tobytes()))
         return _table(rows, ("bucket", "grp", "keys", "flags"), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))
 
     def anchors(table: pa.Table) -> pa.Table:
         """Which of each group's keys are a block somewhere and stand in several documents."""
-        bucket = table.column("bucket")[0].as_py()
         grps = table.column("grp").to_pylist()
-        keys = [np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()]
+        keys = [_unpacked(x) for x in table.column("keys").to_pylist()]
         flags = [np.unpackbits(np.frombuffer(x, np.uint8), count=2 * len(k)).reshape(-1, 2) for k, x in zip(keys, table.column("flags").to_pylist(), strict=True)]
         key, flag = np.concatenate(keys), np.concatenate(flags)
         row = np.repeat(np.arange(len(keys), dtype=np.int32), [len(k) for k in keys])
@@ -153,26 +184,22 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, groups: int | No
         key, row = key[good], row[good]
         order = np.argsort(row, kind="stable")
         key, row = key[order], row[order]
-        rows = [(grps[k], bucket, key[s].tobytes()) for k, s in _by_bucket(row, len(keys))]
-        return _table(rows, ("grp", "bucket", "keys"), (pa.int32(), pa.int32(), pa.binary()))
+        rows = [(grps[k], _packed(key[s])) for k, s in _by_bucket(row, len(keys))]
+        return _table(rows, ("grp", "keys"), (pa.int32(), pa.binary()))
 
     def extend(table: pa.Table, found: pa.Table) -> pa.Table:
         """Distinct windows around a group's anchors, with the least doc_id of each in the group."""
         if not table.num_rows or not found.num_rows:
             return _table([], WINDOWS, WINDOW_TYPES)
         grp = table.column("grp")[0].as_py()
-        anchor = np.sort(
-            np.concatenate(
-                [np.frombuffer(x, np.uint32).astype(np.uint64) | np.uint64(b << 32) for b, x in zip(found.column("bucket").to_pylist(), found.column("keys").to_pylist(), strict=True)]
-            )
-        )
+        anchor = np.sort(np.concatenate([_unpacked(x) for x in found.column("keys").to_pylist()]))
         lanes, owners = [], []
         for doc_id, text in _texts(table):
             rolled = Rolled(text)
             n = len(rolled.words) - window + 1
-            if doc_id is None or n < 1:
+            if n < 1:
                 continue
-            key = _keys(rolled, block, buckets)
+            key = _keys(rolled, block)
             hit = anchor[np.minimum(np.searchsorted(anchor, key), len(anchor) - 1)] == key
             before = np.concatenate([[0], np.cumsum(hit)])
             near = before[window - block + 1 :][:n] > before[:n]
@@ -187,8 +214,7 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, groups: int | No
             least = np.minimum.reduceat(owner, at)
             several = least != np.maximum.reduceat(owner, at)
             h, g = h[at], g[at]
-            bucket = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            for k, s in _by_bucket(bucket.astype(np.int64), buckets):
+            for k, s in _by_bucket(_bucket(h, 64, buckets), buckets):
                 rows.append((k, grp, h[s].tobytes(), g[s].tobytes(), least[s].tobytes(), several[s].tobytes()))
         return _table(rows, WINDOWS, WINDOW_TYPES)
 
@@ -217,7 +243,7 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, groups: int | No
             rolled = Rolled(text)
             n = len(rolled.words)
             covered = np.zeros(n + 1, np.int32)
-            if doc_id is not None and len(h) and n >= window:
+            if len(h) and n >= window:
                 mine = rolled.hashes(window)
                 place = np.minimum(np.searchsorted(h, mine[0]), len(h) - 1)
                 starts = np.flatnonzero((h[place] == mine[0]) & (g[place] == mine[1]) & (owner[place] < doc_id))
@@ -228,17 +254,20 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, groups: int | No
             spans = [{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2], strict=True)]
             kept = b" ".join(rolled.words) if not spans else b" ".join(w for w, x in zip(rolled.words, gone, strict=True) if not x)
             rows.append((doc_id, n, int(gone.sum()), spans, kept))
-        names = ("doc_id", "n_words", "n_removed", "spans", "kept")
-        return _table(rows, names, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary()))
+        return _table(rows, CUT, CUT_TYPES)
 
     probes = grouped.groupBy("grp").applyInArrow(probe, "bucket int, grp int, keys binary, flags binary")
-    shared = probes.groupBy("bucket").applyInArrow(anchors, "grp int, bucket int, keys binary")
+    shared = probes.groupBy("bucket").applyInArrow(anchors, "grp int, keys binary")
     near = grouped.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(extend, "bucket int, grp int, h binary, g binary, owner binary, several binary")
-    known = near.groupBy("bucket").applyInArrow(least, "grp int, h binary, g binary, owner binary")
-    out = grouped.groupBy("grp").cogroup(known.groupBy("grp")).applyInArrow(cut, "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
-    return out.select("doc_id", "n_words", "n_removed", "spans", F.col("kept").cast("string").alias("kept_text"))
+    repeats = near.groupBy("bucket").applyInArrow(least, "grp int, h binary, g binary, owner binary")
+    out = grouped.groupBy("grp").cogroup(repeats.groupBy("grp")).applyInArrow(cut, CUT_SCHEMA)
+    rest = every.filter("doc_id is null").mapInArrow(batches(_uncut), CUT_SCHEMA)
+    return out.unionByName(rest).select("doc_id", "n_words", "n_removed", "spans", F.col("kept").cast("string").alias("kept_text"))
 
 
+CUT = ("doc_id", "n_words", "n_removed", "spans", "kept")
+CUT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary())
+CUT_SCHEMA = "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept binary"
 WINDOWS = ("bucket", "grp", "h", "g", "owner", "several")
 WINDOW_TYPES = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
 

@@ -460,6 +460,13 @@ def test_substrings_of_few_words(spark):
     same([(r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in found], naive_cut(rows, 8))
 
 
+def test_packed_keys():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << substrings.KEY_BITS, 5000, dtype=np.uint64))
+    assert (substrings._unpacked(substrings._packed(keys)) == keys).all()
+    bucket = substrings._bucket(keys, substrings.KEY_BITS, 37)
+    assert (np.diff(bucket) >= 0).all() and set(bucket) == set(range(37))
+
+
 def test_packing_round_trip(spark, docs):
     from tokenizers import Tokenizer
     import public_tokenizers
