@@ -7,11 +7,14 @@ the share of toxic texts among labelled rows; where the corrected negative risk
 step undoes that instead of fitting further.
 
 Only the fit sees a sample: at most ``MAX_POSITIVE`` and ``MAX_UNLABELLED`` texts, those of the
-least hash.  The prior counts all labels and the scores are of all documents, whole texts.
+least hash, of each the ``MAX_WORDS`` distinct words of the least hash, so that what the driver gets
+is bounded in bytes.  The prior counts the labels of all documents at hand and the scores are of all
+documents, whole texts.
 """
 
 from __future__ import annotations
 
+import heapq
 from typing import NamedTuple
 
 import numpy as np
@@ -20,10 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import alnum_words, batches, utf8
+from quire.llm.common import alnum_words, batches, durable, utf8
 
 MAX_POSITIVE = 4_000
 MAX_UNLABELLED = 8_000
+#: Distinct words of a text that the fit sees: 12,000 texts of 3,000 features of four bytes are 144 MB at most.
+MAX_WORDS = 1_000
 #: Rows whose crc32(doc_id as text) leaves 0 modulo this are held out.
 FOLDS = 5
 BITS = 18
@@ -138,30 +143,37 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     return Model(every, float(bias))
 
 
-def _featured(docs: DataFrame) -> DataFrame:
-    """Feature numbers of each text's distinct words."""
+def _featured(docs: DataFrame, max_words: int) -> DataFrame:
+    """Feature numbers of each text's distinct words, at most ``max_words`` of them."""
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         of = _Features().__getitem__
-        rows = [[f for w in sorted(set(alnum_words(t))) for f in of(w)] for t in batch.column(1).to_pylist()]
+        texts = [set(alnum_words(t)) for t in batch.column(1).to_pylist()]
+        chosen = [heapq.nsmallest(max_words, t, key=xxhash.xxh64_intdigest) if len(t) > max_words else t for t in texts]
+        rows = [[f for w in sorted(t) for f in of(w)] for t in chosen]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], ["positive", "features"])
 
     return docs.select("positive", utf8("text")).mapInArrow(batches(make), "positive boolean, features array<int>")
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Model:
-    """Fit on the training rows of ``docs``; labels of null ids or null marks do not count.
+def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, max_words: int = MAX_WORDS) -> Model:
+    """Fit on the training rows of ``docs``; labels of null ids, of null marks or of no document do not count.
 
-    Repeated ids of ``labels`` count as toxic if any row does.
+    Repeated ids of ``labels`` count as toxic if any row does; of repeated ids of ``docs`` the sample
+    has one text, that of the least hash.  Without toxic or other texts every score is next to zero.
     """
     known = labels.filter(~held_out() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    ids = docs.filter(~held_out()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    known = durable(known.join(ids, "doc_id", "left_semi"))
     share = known.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
     rank = F.xxhash64(F.col("doc_id"), F.lit("sample"))
     toxic = known.filter("toxic > 0").orderBy(rank, "doc_id").limit(max_positive).select("doc_id", F.lit(True).alias("positive"))
     # the corpus is sampled without regard to labels
-    plain = docs.filter(~held_out()).select("doc_id").orderBy(rank, "doc_id").limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
-    chosen = F.broadcast(toxic.unionByName(plain.distinct()))  # bounded by the two parameters
-    sample = _featured(docs.select("doc_id", "text").join(chosen, "doc_id")).toArrow()
+    plain = ids.orderBy(rank, "doc_id").limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
+    chosen = F.broadcast(toxic.unionByName(plain))  # bounded by the two parameters
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    texts = texts.groupBy("doc_id", "positive").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    sample = _featured(texts, max_words).toArrow()
     positive = np.asarray(sample.column("positive").to_pylist(), dtype=bool)
     lists = sample.column("features").combine_chunks() if sample.num_rows else None
     rows = [] if lists is None else np.split(lists.values.to_numpy(), lists.offsets.to_numpy()[1:-1])
@@ -172,7 +184,9 @@ def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = MAX_POSITIV
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted of every row, from its text alone.
 
-    Null and empty texts score the model's bias; equal texts score alike; an empty table gives no rows.
+    Null and empty texts score the model's bias; a text of any length is scored whole; equal texts
+    score alike and repeated rows come out as often as they came in; other columns are ignored, those
+    named like a result too; an empty table gives no rows.
     """
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:

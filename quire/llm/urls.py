@@ -8,6 +8,7 @@ of their SHA-256, full digests confirm the match, and the longest rule decides.
 
 from __future__ import annotations
 
+import json
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,8 +32,6 @@ RULES = (
 DEFAULT = "allow"
 #: Hexadecimal digits of a digest that expressions are joined on.
 PREFIX = 8
-#: Different pairs of a host's labels and a path's length that a rule table may have.
-MAX_SHAPES = 4_096
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,28 +59,24 @@ def judge_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per page: page_id, host, path, rule (its host and path, else null) and verdict.
 
     Of rules of equal length, blocking ones win.  Null and malformed urls have an empty host and
-    path and get the default verdict, as all do under an empty rule table.  Repeated pages come out
-    as often as they came in.
+    path and get the default verdict, as all do under an empty rule table.  Urls of any length are
+    expanded as far as rules go.  Repeated pages come out as often as they came in; other columns are
+    ignored; without pages there are no rows.
     """
     hashed = rules.filter(F.col("host").isNotNull()).select(
         F.concat("host", F.coalesce("path", F.lit(""))).alias("rule"), "verdict",
         F.size(F.split("host", r"\.")).alias("labels"), F.length(F.coalesce("path", F.lit(""))).alias("depth"),
     )
-    shapes = hashed.select("labels", "depth").distinct().limit(MAX_SHAPES + 1).collect()
-    if len(shapes) > MAX_SHAPES:
-        raise ValueError(f"rules of more than {MAX_SHAPES} different shapes")
+    # a shape is a number of labels and a length of a path, so there are few even of very many rules
+    shapes = [[s["labels"], s["depth"]] for s in hashed.select("labels", "depth").distinct().collect()]
     hashed = hashed.withColumn("rule_digest", F.sha2("rule", 256)).withColumn("prefix", F.substring("rule_digest", 1, PREFIX))
     url = F.col("url").cast("string")
     parsed = pages.select(F.monotonically_increasing_id().alias("nth"), F.col("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     parsed = parsed.withColumns({"host": F.coalesce("host", F.lit("")), "path": F.coalesce("path", F.lit(""))}).withColumn("parts", F.split("host", r"\."))
-    expressions = [
-        F.when(
-            (F.size("parts") >= s["labels"]) & (F.length("path") >= s["depth"]),
-            F.concat(F.array_join(F.slice("parts", -s["labels"], s["labels"]), "."), F.substring("path", 1, s["depth"])),
-        )
-        for s in shapes
-    ]
-    listed = F.array_compact(F.array(*expressions)) if expressions else F.array().cast("array<string>")
+    listed = F.transform(
+        F.filter(F.from_json(F.lit(json.dumps(shapes)), "array<array<int>>"), lambda s: (s[0] <= F.size("parts")) & (s[1] <= F.length("path"))),
+        lambda s: F.concat(F.array_join(F.slice("parts", -s[0], s[0]), "."), F.substring(F.col("path"), F.lit(1), s[1])),
+    )
     probes = parsed.select("nth", "page_id", "host", "path", F.explode_outer(listed).alias("expression"))
     probes = probes.withColumn("digest", F.sha2("expression", 256)).withColumn("prefix", F.substring("digest", 1, PREFIX))
     met = probes.join(hashed.select("prefix", "rule_digest", "rule", "verdict"), "prefix", "left")

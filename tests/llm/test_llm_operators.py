@@ -14,6 +14,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from quire.llm import decontaminate, licenses, minhash, packing, quality, secrets, simhash, substrings, tokencount, toxicity, urls
 from quire.llm.common import durable
 from quire.llm.components import connected_components
@@ -298,18 +299,47 @@ def test_toxicity(spark):
     test = [k for k in range(600) if scored[k]["held_out"]]
     assert np.mean([scored[k]["predicted"] == (k % 8 == 0) for k in test]) > 0.95
     assert scored[1000]["score"] == scored[1001]["score"] < 0.5 and scored[None]["held_out"]
+    # labels of absent documents move neither the prior nor the sample
+    absent = known.unionByName(spark.createDataFrame([(10**6 + k, 1) for k in range(5000)], "doc_id long, toxic int"))
+    again = {r["doc_id"]: r["score"] for r in toxicity.score(frame, toxicity.train(frame, absent)).collect()}
+    assert again == {k: r["score"] for k, r in scored.items()}
     untrained = toxicity.score(frame, toxicity.train(frame, known.limit(0)))
     assert untrained.filter("predicted = 1").count() == 0
     assert toxicity.score(frame.limit(0), toxicity.train(frame.limit(0), known)).count() == 0
 
 
-def naive_verdict(url):
+def test_toxicity_of_odd_rows(spark, docs):
+    """Clashing names, repeated ids, ties and very long texts; the score is the one of the formula, word by word."""
+    known = spark.createDataFrame([(k, int(k in (0, 3, 12))) for k in range(13)], "doc_id long, toxic int")
+    odd = docs.withColumns({"score": F.lit("x"), "held_out": F.lit(1), "predicted": F.lit(None).cast("int"), "toxic": F.lit(7)})
+    model = toxicity.train(odd, known, max_words=50)
+    rows = toxicity.score(odd, model).collect()
+
+    def naive(text):
+        found = set(alnum(text))
+        features = [xxhash.xxh32_intdigest(m) >> (32 - toxicity.BITS) for w in sorted(found) for b in [w.encode()] for m in (b, *(b"%d " % n + b[:n] for n in toxicity.PREFIXES))]
+        z = model.bias + (sum(float(model.weights[f]) for f in features) / len(found) ** 0.5 if found else 0.0)
+        return round(1 / (1 + math.exp(-max(-60.0, min(60.0, z)))), 9)
+
+    same([(r["doc_id"], round(r["score"], 9), r["predicted"]) for r in rows], [(i, naive(t), int(naive(t) >= 0.5)) for i, t in TEXTS])
+    assert odd.count() == len(rows) and len({r["score"] for r in rows if r["doc_id"] == 12}) == 1
+
+
+def test_risk_is_non_negative():
+    """One step of the estimator by hand: the gradient turns where the corrected negative risk is below zero."""
+    positive, unlabelled = [np.array([5, 6, 7], np.int32)] * 8, [np.array([5, 6, 7], np.int32)] * 2 + [np.array([9, 10, 11], np.int32)] * 62
+    model = toxicity.fit(positive, unlabelled, 2 / 64)
+    assert model.weights[5] > 0 and model.weights[9] == 0 and model.bias < 0
+    assert toxicity.fit([], unlabelled, 0.1).bias == toxicity.fit(positive, [], 0.1).bias == toxicity.fit(positive, unlabelled, 0.0).bias == -60.0
+
+
+def naive_verdict(url, rules=urls.RULES):
     at = (url or "").find("://")
     rest = url[at + 3 :] if url is not None and at >= 0 else ""
     host = re.match(r"[^/?#]*", rest)[0]
     path = re.match(r"[^?#]*", rest[len(host) :])[0]
     host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
-    fits = [r for r in urls.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     best = max(fits, key=lambda r: len(r.host + r.path), default=None)
     return host, path, best and best.host + best.path, best.verdict if best else "allow"
 
@@ -323,6 +353,22 @@ def test_urls(spark):
     assert urls.judge_urls(pages.limit(0), urls.rule_table(spark)).count() == 0
 
 
+def test_urls_under_many_rules(spark):
+    """Rules of more shapes than any list of expressions could hold, and very long urls."""
+    r = random.Random(9)
+    hosts = [".".join(r.choice("ab") for _ in range(n)) for n in range(1, 9) for _ in range(3)]
+    rules = {(h, "/" + "xy"[k % 2] * k): urls.Rule(r.choice(["block", "allow"]), h, "/" + "xy"[k % 2] * k) for k in range(700) for h in r.sample(hosts, 8)}
+    rules = tuple(rules.values())
+    listed = [f"http://{r.choice(['', 'c.', 'a.b.'])}{r.choice(hosts)}/{r.choice('xy') * r.randrange(800)}?q" for _ in range(300)] + ["http://" + "a." * 500 + "a/" + "x" * 100_000]
+    pages = spark.createDataFrame(list(enumerate(listed)), "page_id long, url string")
+    found = urls.judge_urls(pages, urls.rule_table(spark, rules)).collect()
+    assert len({(x.host.count("."), len(x.path)) for x in rules}) > 4096 // 2
+    for x in found:
+        host, path, rule, verdict = naive_verdict(listed[x["page_id"]], rules)
+        assert (x["host"], x["path"], x["rule"] and len(x["rule"])) == (host, path, rule and len(rule))
+    assert len(found) == len(listed)
+
+
 def test_licenses(spark, docs):
     assert licenses.license_scan(docs).count() == len(TEXTS)
     assert all(any(a in licenses.normalised(s) for a in licenses.ANCHORS) for _, s in licenses.SENTENCES)
