@@ -93,7 +93,33 @@ _APACHE_UNLESS = (
 _GPL_FREE = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"
 _GPL_WARRANTY = "This program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose"
 _HOLDERS = ("copyright holder", "copyright holders", "copyright owner", "author", "authors", "regents")
+_GNU_TERMS = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} General Public License as published by the Free Software Foundation, {}"
+_ISC_GRANT = "Permission to use, copy, modify, and{} distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"
+_ISC_AS_IS = "The software is provided \"as is\" and {} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"
+_ISC_LIABLE = (
+    "In no event shall {} be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits, "
+    "whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use or performance of this software"
+)
+_MPL_COPY = "If a copy of the MPL was not distributed with this file, You can obtain one at {}://mozilla.org/MPL/2.0/"
+_CC = {"": "CC-BY-4.0", "-ShareAlike": "CC-BY-SA-4.0", "-NonCommercial": "CC-BY-NC-4.0", "-NoDerivatives": "CC-BY-ND-4.0", "-NonCommercial-ShareAlike": "CC-BY-NC-SA-4.0", "-NonCommercial-NoDerivatives": "CC-BY-NC-ND-4.0"}
 FULL_SENTENCES: tuple[Sentence, ...] = (
+    *[
+        (f"{key}-free-{n}", _GNU_TERMS.format(kind, which.format(n)))
+        for key, kind, versions in (("LGPL", "Lesser", ("2.1", "3")), ("LGPL", "Library", ("2",)), ("AGPL", "Affero", ("3",)))
+        for n in versions
+        for which in ("either version {} of the License, or (at your option) any later version", "version {} of the License", "version {}")
+    ],
+    *[("LGPL-copy", f"You should have received a copy of the GNU Lesser General Public License along with this {x}{end}") for x in ("library", "program") for end in ("", "; if not, see http://www.gnu.org/licenses/", "; if not, see https://www.gnu.org/licenses/")],
+    ("AGPL-copy", "You should have received a copy of the GNU Affero General Public License along with this program"),
+    *[("ISC-grant", _ISC_GRANT.format(x)) for x in ("/or", "")],
+    *[(key, text.format(who)) for key, text in (("ISC-as-is", _ISC_AS_IS), ("ISC-liable", _ISC_LIABLE)) for who in ("the author", "the authors", "isc")],
+    ("MPL-ref", "This Source Code Form is subject to the terms of the Mozilla Public License, v"),
+    *[("MPL-copy", _MPL_COPY.format(x)) for x in ("http", "https")],
+    ("Unlicense-free", "This is free and unencumbered software released into the public domain"),
+    ("Zlib-grant", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1"),
+    ("Zlib-grant", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    *[(f"CC-{name}", f"This work is licensed under {a} Creative Commons Attribution{more} 4.0 International License") for more, name in _CC.items() for a in ("a", "the")],
+    *[(f"SPDX-{name}", f"SPDX-License-Identifier: {name}") for name in ("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-or-later", "Unlicense", "Zlib")],
     ("MIT-grant", _MIT_GRANT),
     ("MIT-grant-notice", f"{_MIT_GRANT}: {_MIT_NOTICE}"),
     ("MIT-grant-notice", f"{_MIT_GRANT}: {_MIT_NOTICE_NEXT}"),
@@ -143,6 +169,18 @@ FULL_RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
         if rest == ("as-is", "MIT-liable") or grant == ("MIT-grant-notice",)
     ],
     ("GPL", ("GPL-free", "GPL-no-warranty", "GPL-copy")),
+    *[
+        (name, (key, *rest))
+        for name, key, copy in (("LGPL-2.0", "LGPL-free-2", "LGPL-copy"), ("LGPL-2.1", "LGPL-free-2.1", "LGPL-copy"), ("LGPL-3.0", "LGPL-free-3", "LGPL-copy"), ("AGPL-3.0", "AGPL-free-3", "AGPL-copy"))
+        for rest in (("GPL-no-warranty", copy), ("GPL-no-warranty",), ())
+    ],
+    *[("ISC", ("ISC-grant", *rest)) for rest in (("ISC-as-is", "ISC-liable"), ("ISC-as-is",), ())],
+    ("MPL-2.0", ("MPL-ref", "MPL-copy")),
+    ("MPL-2.0", ("MPL-ref",)),
+    ("Unlicense", ("Unlicense-free",)),
+    ("Zlib", ("Zlib-grant",)),
+    *[(name, (f"CC-{name}",)) for name in _CC.values()],
+    *[(key.removeprefix("SPDX-"), (key,)) for key, _ in FULL_SENTENCES if key.startswith("SPDX-")],
 )
 #: Names that licensors put in: pattern on the normalised text, and what stands for it above.
 NAMES: tuple[tuple[str, str], ...] = (
@@ -151,7 +189,7 @@ NAMES: tuple[tuple[str, str], ...] = (
     ("(?<=[SL] )(?:[a-z0-9]+ ){1,8}?is (?:L )*distributed (?:L )*in (?:L )*the (?:L )*hope ", "this program is distributed in the hope "),
     ("general (?:L )*public (?:L )*license (?:L )*along (?:L )*with (?:[a-z0-9L]+ ){1,8}?(?=[SL] |if not see)", "general public license along with this program "),
 )
-#: Every known sentence holds one of these, so other texts need not be cut.
+#: Nearly every known sentence holds one of these; texts without any anchor of the sentences need not be cut.
 ANCHORS = ("licen", "permission", "redistribut", "warrant", "endorse", "software")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Between sentences: their closing marks before white space or the end.
@@ -163,6 +201,13 @@ def normalised(sentence: str) -> str:
     return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in sentence.lower()).split())
 
 
+def anchors_of(sentences: tuple[Sentence, ...]) -> list[str]:
+    """Strings of which every sentence holds one: of ``ANCHORS`` those that occur, of any other sentence its longest word."""
+    plain = [normalised(sentence) for _, sentence in sentences]
+    rest = {max(x.split(), key=len) for x in plain if x and not any(a in x for a in ANCHORS)}
+    return [a for a in ANCHORS if any(a in x for x in plain)] + sorted(rest)
+
+
 def known_sentences(text: Column, sentences: tuple[Sentence, ...] = SENTENCES + FULL_SENTENCES) -> Column:
     """Identifiers of a text's known sentences, in order; none for a null text."""
     lower = F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER, _LOWER)
@@ -176,7 +221,7 @@ def known_sentences(text: Column, sentences: tuple[Sentence, ...] = SENTENCES +
     units = F.regexp_extract_all(clean, F.lit(f"(?<=[SL] )(?:{over_lines})(?= [SL])"), F.lit(0))
     keys = F.create_map(*[F.lit(x) for item in table.items() for x in item])
     found = F.transform(units, lambda s: F.element_at(keys, F.replace(s, F.lit(" L"), F.lit(""))))
-    return F.when(lower.rlike("|".join(ANCHORS)), found).otherwise(F.array().cast("array<string>"))
+    return F.when(lower.rlike("|".join(anchors_of(sentences))), found).otherwise(F.array().cast("array<string>"))
 
 
 def matched_licenses(identifiers: Column, rules: tuple[tuple[str, tuple[str, ...]], ...] = FULL_RULES + RULES) -> Column:
@@ -200,8 +245,9 @@ def license_scan(docs: DataFrame) -> DataFrame:
     ``sentences`` are the known ones in order, ``licenses`` each license once, in rule order, and
     n_unused the known sentences that no rule used.  A known sentence may be wrapped, in a comment, too,
     if its lines begin with other marks than letters and digits.  The query's SQL knows SENTENCES and
-    RULES alone, each sentence on one line.  Null and empty texts have none; repeated rows come
-    out as often as they came in.
+    RULES alone, each sentence on one line.  Null and empty texts have none; texts of any length are
+    read whole; repeated rows come out as often as they came in; other columns are ignored; an empty
+    table gives no rows.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), known_sentences(F.col("text")).alias("ids"))
     matched = known.select("doc_id", "ids", F.when(F.size("ids") > 0, matched_licenses(F.col("ids"))).alias("m"))

@@ -371,7 +371,6 @@ def test_urls_under_many_rules(spark):
 
 def test_licenses(spark, docs):
     assert licenses.license_scan(docs).count() == len(TEXTS)
-    assert all(any(a in licenses.normalised(s) for a in licenses.ANCHORS) for _, s in licenses.SENTENCES)
     text = (
         "Released under the MIT License.\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files. Noise! "
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\nYou may not use this file except in compliance with the License.\nLicensed under CC BY-NC 4.0."
@@ -471,11 +470,63 @@ def test_full_licenses(spark):
     assert {r["doc_id"]: (r["licenses"], r["n_unused"]) for r in found} == {k: (name, 0) for k, name, _ in rows}
     flat = licenses.license_scan(spark.createDataFrame([(k, " ".join(t.split("\n\n", 1)[1].split())) for k, t in enumerate([MIT.split("\n\n", 1)[1], BSD2, BSD3, "\n\n" + APACHE])], "doc_id long, text string"))
     assert [r["licenses"] for r in flat.orderBy("doc_id").collect()] == ["MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0"]
-    assert all(any(a in licenses.normalised(s) for a in licenses.ANCHORS) for _, s in licenses.FULL_SENTENCES)
     cut = spark.createDataFrame([(1, "Licensed under the Apache. License, Version 2.0"), (2, "x Released under the MIT License")], "doc_id long, text string")
     assert not any(r["licenses"] for r in licenses.license_scan(cut).collect())
 
 
+ISC = """Copyright (c) 2024, Some One <some@one.example>
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+LGPL = """    This library is free software; you can redistribute it and/or
+    modify it under the terms of the GNU Lesser General Public
+    License as published by the Free Software Foundation; either
+    version 2.1 of the License, or (at your option) any later version.
+
+    This library is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+    Lesser General Public License for more details.
+
+    You should have received a copy of the GNU Lesser General Public
+    License along with this library; if not, write to the Free Software
+    Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA  02110-1301  USA
+"""
+OTHERS = [
+    ("ISC", ISC), ("MPL-2.0", MPL), ("LGPL-2.1", LGPL), ("Unlicense", "This is free and unencumbered software released into the public domain.\n"), ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.\n"),
+    ("GPL-2.0-or-later", "// SPDX-License-Identifier: GPL-2.0-or-later\nint main() {}\n"), ("AGPL-3.0", GPL.format(*["This program"] * 2, "this program").replace("GNU General", "GNU Affero General")),
+]
+
+
+def test_more_licenses(spark):
+    rows = [(k, t) for k, (_, text) in enumerate(OTHERS) for t in (text, text + "\nplain words follow.\n" * 5)]
+    found = licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["licenses"] for r in found} == {k: name for k, (name, _) in enumerate(OTHERS)}
+    assert {r["licenses"] for r in found} == {name for name, _ in OTHERS}
+
+
+def test_own_sentences(spark):
+    """A sentence without any of the usual words is found, too, in a very long text among others."""
+    own = (("own", "Do what pleases you"), ("gone", "All rights reserved"))
+    text = "word " * 200_000 + ".\nDo what pleases you. All\nrights   reserved. Do what pleases"
+    frame = spark.createDataFrame([(text,), (None,)], "text string")
+    assert [r[0] for r in frame.select(licenses.known_sentences(F.col("text"), own)).collect()] == [["own", "gone"], []]
+
+
 def naive_cut(rows, window):
     first = {}
     for i, t in rows:
