@@ -25,7 +25,8 @@ def findings(rows: DataFrame, check: str, severity: str, message: Column, *, lin
 
 def capped(found: DataFrame, most: int = MAX_EXAMPLES) -> DataFrame:
     """The first findings of each document and check, in document order."""
-    return top(found, ["doc", "check"], [F.asc("line"), F.asc("message")], most).drop("rank")
+    place = Window.partitionBy("doc", "check").orderBy("line", "message")
+    return found.withColumn("nth_of_check", F.row_number().over(place)).filter(F.col("nth_of_check") <= most).drop("nth_of_check")
 
 
 def dollar_runs(docs: DataFrame) -> DataFrame:
@@ -34,16 +35,17 @@ def dollar_runs(docs: DataFrame) -> DataFrame:
     return runs.groupBy("doc", "run").agg(F.count(F.lit(1)).alias("times")).withColumn("welded", F.col("run") > 2)
 
 
-def inline_parity(docs: DataFrame) -> DataFrame:
-    """(doc, line, n): paragraphs of even pairs but an odd number of single dollar signs.
-
-    The line counts the line feeds of the paragraphs before and two for each separator.
-    """
+def placed_paragraphs(docs: DataFrame) -> DataFrame:
+    """Paragraphs with ``line``: it counts the line feeds of the paragraphs before and two for each separator."""
     before = Window.partitionBy("doc").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
     feeds = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
-    parts = generators.paragraphs(docs, keep_blank=True).withColumn("line", (F.coalesce(F.sum(feeds + 2).over(before), F.lit(0)) + 1).cast("long"))
+    return generators.paragraphs(docs, keep_blank=True).withColumn("line", (F.coalesce(F.sum(feeds + 2).over(before), F.lit(0)) + 1).cast("long"))
+
+
+def inline_parity(docs: DataFrame) -> DataFrame:
+    """(doc, line, n): paragraphs of even pairs but an odd number of single dollar signs."""
     n = T.inline_marks(F.col("text"))
-    return parts.filter((T.display_marks(F.col("text")) % 2 == 0) & (n % 2 == 1)).select("doc", "line", n.alias("n"))
+    return placed_paragraphs(docs).filter((T.display_marks(F.col("text")) % 2 == 0) & (n % 2 == 1)).select("doc", "line", n.alias("n"))
 
 
 def unusual_characters(docs: DataFrame, *, ceiling: str = "\\x{FF}") -> DataFrame:
@@ -70,12 +72,14 @@ def many_tags(spans: DataFrame) -> DataFrame:
 def dangling(spans: DataFrame, commands: DataFrame) -> DataFrame:
     """Spans that end in a command that takes an argument; ``commands`` has the names."""
     last = spans.withColumn("command", F.regexp_extract(T.strip(F.col("body")), r"\\([A-Za-z]+)$", 1))
-    return last.join(F.broadcast(commands), "command", "left_semi")
+    return last.join(commands, "command", "left_semi")  # its measured size decides how
 
 
 def unknown_words(words: DataFrame, vocabulary: DataFrame, *, by: list[str], most: int = MAX_EXAMPLES) -> DataFrame:
     """The rarest words that the vocabulary lacks, ties in order of first appearance, of each group."""
-    unknown = words.join(vocabulary, "word", "left_anti").groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"))
+    # counted first, so that the join sees each word of a group once and not as often as it stands there
+    counted = words.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"))
+    unknown = counted.join(vocabulary, "word", "left_anti")
     return top(unknown, by, [F.asc("n"), F.asc("first"), F.asc("word")], most)
 
 
@@ -133,14 +137,18 @@ def waived(found: DataFrame, waivers: DataFrame) -> tuple[DataFrame, DataFrame]:
     A waiver (pos, check, excerpt, reason) fits findings of its check, or of any for ``*``, whose
     context holds its excerpt; info findings are never waived and a waiver without a reason does
     nothing.  The first that fits a finding is the one it uses.
+
+    Findings meet waivers of their check by key.  One for any check is written out for the checks
+    that there are, so there is no second kind of join, and none of all pairs.
     """
     valid = waivers.filter(T.strip(F.coalesce("reason", F.lit(""))) != "")
-    f, w = found.withColumn("id", F.xxhash64(*FINDING)).alias("f"), valid.alias("w")
-    # equal checks meet by key; wildcards are a second join on a constant key, never a product of all
+    f = found.withColumn("id", F.xxhash64(*FINDING)).alias("f")
+    names = found.filter("severity <> 'info'").agg(F.collect_set("check").alias("every"))  # the names of checks, a few dozen
+    named = F.when(F.col("check") == "*", F.col("every")).otherwise(F.array("check"))
+    w = valid.join(names).select("pos", "excerpt", F.explode(named).alias("check")).alias("w")
     fits = F.contains("f.context", "w.excerpt") & (F.col("f.severity") != "info")
-    exact = f.join(w, (F.col("f.check") == F.col("w.check")) & fits).select("f.id", "w.pos")
-    stars = f.join(F.broadcast(w.filter("w.check = '*'")), fits).select("f.id", "w.pos")
-    used = exact.unionByName(stars).groupBy("id").agg(F.min("pos").alias("pos"))
+    met = f.join(w, (F.col("f.check") == F.col("w.check")) & fits).select("f.id", "w.pos")
+    used = met.groupBy("id").agg(F.min("pos").alias("pos"))
     left = f.join(used, "id", "left_anti").select(*[f"f.{c}" for c in FINDING])
     return left, waivers.join(used.select("pos").distinct(), "pos", "left_anti")
 

@@ -59,21 +59,36 @@ def first_in_range(targets: DataFrame, points: DataFrame, by: str, width: int) -
 def passages(docs: DataFrame, needles: DataFrame, *, block: int = 12) -> DataFrame:
     """(doc, item, at): the first place of a compacted needle in a compacted document, from 1.
 
-    Documents are cut into blocks of ``block`` characters.  A needle of twice that length covers a
-    whole one near its start wherever it stands, so blocks and the needle's first ``block`` windows
-    meet by equality, and matches are confirmed on the text.  Shorter needles are tried on every
-    document by containment.
+    Documents are cut into blocks of ``block`` characters.  A needle of twice that length covers whole
+    ones wherever it stands: for each of the ``block`` ways to lie over them it is cut into its whole
+    blocks, all of which must be met in a row, and its ends, which the neighbours of the first and last
+    one confirm.  So no text is joined, only blocks.  Shorter needles meet the windows of a document by
+    their first three characters, or the first one.
     """
     compact = docs.select("doc", T.compact(F.col("text")).alias("h"))
     wanted = needles.select("item", T.compact(F.col("text")).alias("n")).filter("n <> ''")
-    windows = wanted.filter(F.length("n") >= 2 * block).select("item", "n", F.explode(F.sequence(F.lit(0), F.lit(block - 1))).alias("o"))
-    windows = windows.withColumn("key", F.col("n").substr(F.col("o") + 1, F.lit(block)))
-    blocks = compact.select("doc", F.posexplode(F.regexp_extract_all("h", F.lit(f"(?s).{{{block}}}"), 0)).alias("b", "key"))
-    met = blocks.join(windows, "key").select("doc", "item", "n", (F.col("b") * block - F.col("o") + 1).alias("at")).filter("at > 0")
-    exact = met.join(compact, "doc").filter(F.col("h").substr(F.col("at"), F.length("n")) == F.col("n"))
-    exact = exact.groupBy("doc", "item").agg(F.min("at").cast("long").alias("at"))
-    contained = compact.join(wanted.filter(F.length("n") < 2 * block), F.contains("h", "n"))
-    return exact.unionByName(contained.select("doc", "item", F.instr(F.col("h"), F.col("n")).cast("long").alias("at")))
+    ways = wanted.filter(F.length("n") >= 2 * block).select("item", "n", F.explode(F.sequence(F.lit(0), F.lit(block - 1))).alias("o"))
+    ways = ways.withColumn("pieces", F.floor((F.length("n") - F.col("o")) / block).cast("int"))
+    pieces = ways.select("item", "n", "o", "pieces", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("j"))
+    begin, end = F.col("o") + F.col("j") * block, F.col("o") + F.col("pieces") * block
+    pieces = pieces.select(
+        "item", "o", "pieces", "j", F.col("n").substr(begin + 1, F.lit(block)).alias("key"),
+        F.when(F.col("j") == 0, F.left("n", "o")).otherwise("").alias("head"),
+        F.when(F.col("j") == F.col("pieces") - 1, F.col("n").substr(end + 1, F.lit(block))).otherwise("").alias("tail"),
+    )
+    cut = compact.select("doc", F.regexp_extract_all("h", F.lit(f"(?s).{{{block}}}"), 0).alias("bs"), F.right("h", F.length("h") % block).alias("rest"))
+    neighbours = F.transform("bs", lambda key, k: F.struct(key.alias("key"), F.coalesce(F.get("bs", k - 1), F.lit("")).alias("before"), F.coalesce(F.get("bs", k + 1), F.col("rest")).alias("after")))
+    blocks = cut.select("doc", F.posexplode(neighbours).alias("b", "x")).select("doc", "b", "x.*")
+    met = blocks.join(pieces, "key").filter(F.col("before").endswith(F.col("head")) & F.col("after").startswith(F.col("tail")))
+    at = (F.col("b") - F.col("j")) * block - F.col("o") + 1
+    whole = met.groupBy("doc", "item", "o", "pieces", at.alias("at")).agg(F.count(F.lit(1)).alias("k")).filter("k = pieces and at > 0")
+    found = whole.select("doc", "item", "at")
+    for size, most in ((3, 2 * block), (1, 3)):
+        short = wanted.filter((F.length("n") >= size) & (F.length("n") < most)).withColumn("key", F.left("n", F.lit(size)))
+        windows = compact.select("doc", F.posexplode(F.regexp_extract_all("h", F.lit(f"(?s)(?=(.{{{size},{most - 1}}}))"), 1)).alias("at", "w"))
+        near = windows.withColumn("key", F.left("w", F.lit(size))).join(short, "key").filter(F.col("w").startswith(F.col("n")))
+        found = found.unionByName(near.select("doc", "item", (F.col("at") + 1).alias("at")))
+    return found.groupBy("doc", "item").agg(F.min("at").cast("long").alias("at"))
 
 
 def sign_bits(vector: Column) -> Column:
@@ -175,6 +190,37 @@ def aligned(pairs: DataFrame, *, pairing: float = 0.5) -> DataFrame:
     return pairs.select("doc", "source", "target").mapInPandas(run, "doc string, source_nth long, target_nth long, similarity long")
 
 
+def similar(left: DataFrame, right: DataFrame, by: list[str], *, least: float = 0.85) -> DataFrame:
+    """(by, id, other, bag) of the token lists (by, id, tokens) of two sides whose bags of tokens are alike.
+
+    ``bag`` is twice the tokens in common over all tokens, never less than the sequence matcher's
+    ratio, so a later ``similarity`` of the pairs found misses none.  A list of n tokens shares more
+    than ``least * n / (2 - least)`` of them with any that is alike, so pairs meet on one of the
+    rarest tokens beyond that number, and common tokens never bring lists together.
+    """
+
+    def listed(side: DataFrame) -> DataFrame:
+        one = side.select(*by, "id", F.explode("tokens").alias("token"))
+        return one.groupBy(*by, "id", "token").agg(F.count(F.lit(1)).alias("n"))
+
+    sides = [listed(left), listed(right)]
+    frequency = sides[0].unionByName(sides[1]).groupBy(*by, "token").agg(F.sum("n").alias("f"))
+    totals = [s.groupBy(*by, "id").agg(F.sum("n").alias("size")) for s in sides]
+    heads = []
+    for s, total in zip(sides, totals, strict=True):
+        order = Window.partitionBy(*by, "id").orderBy("f", "token")
+        ranked = s.join(frequency, [*by, "token"]).withColumn("before", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+        kept = ranked.join(total, [*by, "id"]).filter(F.coalesce("before", F.lit(0)) <= F.col("size") * (1 - least / (2 - least)))
+        heads.append(kept.select(*by, "id", "token"))
+    met = heads[0].join(heads[1].withColumnRenamed("id", "other"), [*by, "token"]).select(*by, "id", "other").distinct()
+    a = met.join(sides[0].withColumnRenamed("n", "a"), [*by, "id"])
+    common = a.join(sides[1].select(*by, F.col("id").alias("other"), "token", F.col("n").alias("b")), [*by, "other", "token"])
+    shared = common.groupBy(*by, "id", "other").agg(F.sum(F.least("a", "b")).alias("common"))
+    sized = shared.join(totals[0], [*by, "id"]).join(totals[1].select(*by, F.col("id").alias("other"), F.col("size").alias("other_size")), [*by, "other"])
+    bag = 2 * F.col("common") / (F.col("size") + F.col("other_size"))
+    return sized.select(*by, "id", "other", bag.alias("bag")).filter(F.col("bag") >= least)
+
+
 def similarity(a: str, b: str) -> int:
     """The sequence matcher's ratio of two token strings in millionths; it depends on the order of the two."""
     return int(SequenceMatcher(None, a.split(), b.split(), autojunk=False).ratio() * 1_000_000)

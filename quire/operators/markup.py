@@ -26,7 +26,11 @@ DEFINED = frozenset(
 )
 SUMMARY = ("summary", "本章小结", "小结")
 UNNUMBERED = ("frontmatter", "backmatter")
+#: Text commands that typeset another sign in mathematics, and groups in which they may stand.
+TEXT_ONLY = frozenset(f"text{x}" for x in ("circled", "degree", "mu", "subscript", "superscript"))
+TEXT_GROUPS = "hbox|mbox|text|textbf|textit|textrm"
 PREAMBLE_ONLY = tuple(f"\\{x}" for x in ("usepackage", "documentclass", "end{document}", "begin{document}"))
+PREAMBLE_PATTERN = "|".join(re.escape(x) for x in PREAMBLE_ONLY)
 SIMILAR, PAIRED, PER_PAIR = 0.85, 0.5, 8
 
 
@@ -67,6 +71,34 @@ def environment_issues(docs: DataFrame, defined: frozenset[str] = DEFINED) -> Da
     return mapped(docs, ["text"], "kind string, name string, line long", lambda t: M.environment_issues(t or "", defined))
 
 
+def text_in_math(docs: DataFrame, commands: frozenset[str] = TEXT_ONLY) -> DataFrame:
+    """(doc, command, line, body): text commands in spans outside the groups that switch back to text."""
+
+    def rows(text: str | None) -> Iterator[tuple]:
+        for s in M.spans(text or "", latex=True):
+            kept, done = [], 0
+            for start, end, _ in M.calls(s.body, TEXT_GROUPS):
+                kept, done = [*kept, s.body[done:start]], end
+            for name in re.findall(r"\\([A-Za-z]+)", " ".join([*kept, s.body[done:]])):
+                if name in commands:
+                    yield name, text.count("\n", 0, s.start) + 1, s.body
+
+    return mapped(docs, ["text"], "command string, line long, body string", rows)
+
+
+def chapter_tags(docs: DataFrame) -> DataFrame:
+    """(doc, pos, starred, tags): chapters in order, starred or not, with the chapter numbers that the tags in them begin with."""
+
+    def rows(text: str | None) -> Iterator[tuple]:
+        found = list(re.finditer(r"\\chapter(\*?)\s*(?:\[[^]]*])?\{", text or ""))
+        for k, (m, after) in enumerate(zip(found, [*found[1:], None], strict=True), 1):
+            body = text[m.end() : after.start() if after else len(text)]
+            tags = [int(n[1]) for _, _, tag in M.calls(body, "tag") if (n := re.match(r"([0-9]+)[.-]", M.plain_tag(tag)))]
+            yield k, bool(m[1]), tags
+
+    return mapped(docs, ["text"], "pos long, starred boolean, tags array<long>", rows)
+
+
 def braced_arguments(docs: DataFrame, commands: list[str]) -> DataFrame:
     """(doc, command, star, at, argument) of the commands' first braced arguments, options skipped."""
     names = "|".join(commands)
@@ -369,8 +401,7 @@ def matched(source: list[list[str]], target: list[list[str]]) -> list[tuple[list
 
 def preamble_leaks(docs: DataFrame) -> DataFrame:
     """(doc, line) of lines that hold a command of the preamble."""
-    pattern = "|".join(re.escape(x) for x in PREAMBLE_ONLY)
-    return generators.lines(docs).filter(F.regexp_replace("text", r"(?<!\\)%.*", "").rlike(pattern)).select("doc", "line")
+    return generators.lines(docs).filter(F.regexp_replace("text", r"(?<!\\)%.*", "").rlike(PREAMBLE_PATTERN)).select("doc", "line")
 
 
 def misplaced_tags(docs: DataFrame) -> DataFrame:

@@ -116,6 +116,15 @@ def spec_problems(specs: DataFrame) -> DataFrame:
     return specs.select("image", F.array_compact(F.array(*rules)).alias("problems"))
 
 
+def substituted(images: DataFrame, finished: DataFrame, folder: str = "figure_text") -> DataFrame:
+    """The image map (token, path) with the figures that ``finished`` (name) has pointing at their new files, and whether they do."""
+    named = images.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
+    met = named.join(finished.select("name", F.lit(True).alias("new")).distinct(), "name", "left")
+    stem = F.regexp_replace("name", r"\.[^.]*$", "")
+    path = F.when(F.col("new"), F.concat(F.lit(f"{folder}/"), stem, F.lit(".pdf"))).otherwise(F.col("path"))
+    return met.select("token", path.alias("path"), F.coalesce("new", F.lit(False)).alias("swapped"))
+
+
 def spec_status(specs: DataFrame) -> DataFrame:
     """(image, status): done while the rendered hash is the spec's, stale when it is another, else failed or todo."""
     own = F.sha2(F.concat_ws("\x1f", "method", F.to_json("labels")), 256)

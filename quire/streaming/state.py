@@ -80,6 +80,30 @@ def last_attempts(attempts: DataFrame, *, most: int) -> DataFrame:
     return found.select("id", "outcome", F.least("n", F.lit(most)).cast("long").alias("attempts"))
 
 
+def polled(answers: DataFrame, *, terminal: tuple[str, ...] = ("done", "failed")) -> DataFrame:
+    """(batch, done, failed, waiting, ended): what the polls (batch, part, seq, state) of a batch have come to.
+
+    A part is in the state of its last poll.  A batch has ended when no part waits, ``ended`` being the
+    poll that said so; parts that failed do not keep the others back.
+    """
+    last = answers.groupBy("batch", "part").agg(F.max_by("state", "seq").alias("state"), F.min(F.when(F.col("state").isin(*terminal), F.col("seq"))).alias("since"))
+    count = [F.count_if(F.col("state") == s).alias(s) for s in terminal]
+    rest = F.count_if(~F.col("state").isin(*terminal)).alias("waiting")
+    return last.groupBy("batch").agg(*count, rest, F.max("since").alias("latest")).select("batch", *terminal, "waiting", F.when(F.col("waiting") == 0, F.col("latest")).alias("ended"))
+
+
+def resumed(sources: DataFrame, recorded: DataFrame, polls: DataFrame) -> DataFrame:
+    """(source, batch, step) of sources (source, digest): what to do with each.
+
+    A source whose batch is on record (source, digest, batch) under the same digest is ``collect``-ed if that has ended and
+    ``poll``-ed if not; without a record, or with one of another digest, it is ``submit``-ted anew.
+    """
+    known = recorded.select("source", "digest", "batch").join(polled(polls).select("batch", F.col("ended").isNotNull().alias("over")), "batch", "left")
+    met = sources.select("source", "digest").join(known, ["source", "digest"], "left")
+    step = F.when(F.col("batch").isNull(), "submit").when(F.coalesce("over", F.lit(False)), "collect").otherwise("poll")
+    return met.select("source", "batch", step.alias("step"))
+
+
 def error_class(status: Column) -> Column:
     """``transient`` statuses are tried again, others are ``permanent``; null is no error."""
     return F.when(status.isin(*TRANSIENT), "transient").when(status.isNotNull(), "permanent")
