@@ -721,20 +721,38 @@ def test_representatives(spark, docs):
     assert {r["doc_id"] for r in out.collect()} == set(naive_classes(prints))
 
 
-def test_block_pairs(spark):
-    """Signatures compared in blocks give the pairs that all pairs give."""
-    r = np.random.default_rng(2)
-    base = r.integers(0, 256, 96, dtype=np.uint8)
-    signs = [np.where(r.random(96) < r.choice([0.1, 0.3, 0.5]), r.integers(0, 256, 96, dtype=np.uint8), base) for _ in range(60)]
-    nodes = [((False, k, 0), bytes(s)) for k, s in enumerate(signs)]
-    signatures = spark.createDataFrame(nodes, "node struct<none:boolean,id:long,mark:long>, signature binary")
-    rest = spark.createDataFrame([(p, n) for p, upto in ((1, 60), (2, 7), (3, 1)) for n, _ in nodes[:upto]], "place long, node struct<none:boolean,id:long,mark:long>")
-    expected = {(a, b) for b in range(60) for a in range(b) if np.count_nonzero(signs[a] == signs[b]) >= minhash.AGREEING}
-    for block in (7, 512):
-        minhash.BLOCK, kept = block, minhash.BLOCK
-        found = minhash._block_pairs(rest, signatures).collect()
-        minhash.BLOCK = kept
-        assert {tuple(sorted((x["a"]["id"], x["b"]["id"]))) for x in found} == expected and 100 < len(expected) < 1700
+@pytest.mark.parametrize(("block", "held"), [(7, 10**6), (512, 10**6), (512, 900)])
+def test_block_links(spark, monkeypatch, block, held):
+    """Blocks of texts give the components that all pairs give, and no link that is none."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", held)
+    r = random.Random(3)
+    texts = []
+    for k in range(60):
+        words = [f"g{k % 6}w{j}" for j in range(120)]
+        for _ in range(r.choice([0, 1, 2, 3, 5])):
+            words[r.randrange(120)] = f"x{r.random()}"
+        texts.append(" ".join(words))
+    sets = [minhash.shingles(t.encode()) for t in texts]
+    node = "node struct<none:boolean,id:long,mark:long>"
+    signs = [(minhash.signature(s) >> np.uint64(56)).astype(np.uint8).tobytes() for s in sets]
+    signatures = spark.createDataFrame([((False, k, 0), s) for k, s in enumerate(signs)], f"{node}, signature binary")
+    held_sets = spark.createDataFrame([((False, k, 0), s.view(np.int64).tolist()) for k, s in enumerate(sets)], f"{node}, shingles array<long>")
+    rest = spark.createDataFrame([(p, (False, k, 0)) for p, upto in ((1, 60), (2, 7), (3, 1)) for k in range(upto)], f"place long, {node}")
+    found = [(x["a"]["id"], x["b"]["id"]) for x in minhash._block_links(rest, signatures, held_sets).collect()]
+
+    def near(a, b):
+        return 9 * len(set(sets[a]) & set(sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))
+
+    def groups(links):
+        own = list(range(60))
+        for a, b in links:
+            low, high = sorted((own[a], own[b]))
+            own = [low if x == high else x for x in own]
+        return own
+
+    assert all(near(a, b) for a, b in found)
+    assert groups(found) == groups([(a, b) for b in range(60) for a in range(b) if near(a, b)])
 
 
 @pytest.mark.parametrize("group", [minhash.GROUP, 2])
