@@ -188,6 +188,17 @@ def pipe_tables(docs: DataFrame) -> DataFrame:
     return mapped(docs, ["text"], "text string, converted long, kept long", rows)
 
 
+def html_cells(docs: DataFrame) -> DataFrame:
+    """(doc, nth, row, column, text, colspan, rowspan) of the cells of the tables of HTML texts; a cell's column is its place in its row."""
+
+    def rows(text: str | None) -> Iterator[tuple]:
+        for nth, table in enumerate(_TABLE.findall(text or "")):
+            for r, row in enumerate(cells_of(table)):
+                yield from ((nth, r, c, *cell) for c, cell in enumerate(row))
+
+    return mapped(docs, ["text"], "nth long, row long, column long, text string, colspan long, rowspan long", rows)
+
+
 def html_tables(docs: DataFrame) -> DataFrame:
     """(doc, nth, rows, defect) of the tables of HTML texts."""
     return mapped(docs, ["text"], "nth long, rows long, defect string", lambda t: [(k, len(c := cells_of(m)), table_defect(c)) for k, m in enumerate(_TABLE.findall(t or ""))])

@@ -177,12 +177,18 @@ def located(excerpts: DataFrame, pages: DataFrame) -> DataFrame:
             yield batch.assign(score=[score(e, t) for e, t in zip(batch["excerpt"], batch["text"], strict=True)])[["doc", "id", "page", "score"]]
 
     wanted = excerpts.withColumn("excerpt", T.compact(F.col("excerpt")))
+    # a page scores only with a run of so much of the excerpt, which holds one of its blocks, or if it is short enough to be like it
+    n = F.length("excerpt")
+    size = F.greatest(F.floor((F.ceil(n * LOCATE_LEAST) + 1) / 2), F.lit(1)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(n / size).cast("int") - 1), lambda j: F.col("excerpt").substr(j * size + 1, size))
+    alike = (n > 0) & ((F.length("text") <= n * (2 / LOCATE_LEAST - 1) + 1) | F.exists(blocks, lambda b: F.contains(F.col("text"), b)))
     texts = pages.select("doc", "page", T.compact(F.col("text")).alias("text"))
     kinds = f"doc {excerpts.schema['doc'].dataType.simpleString()}, id long, page long, score double"
 
     def tried(some: DataFrame, near: bool) -> DataFrame:
         met = some.join(texts, "doc")
         met = met.filter(F.col("page").between(F.col("first") - 1, F.col("last") + 1)) if near else met
+        met = met.filter(F.coalesce(alike, F.lit(False)))
         return met.select("doc", "id", "page", "excerpt", "text").mapInPandas(scores, kinds).filter(F.col("score") >= LOCATE_LEAST)
 
     inside = tried(wanted, True)

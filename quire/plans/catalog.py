@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +33,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder(spark: SparkSession, kind: str) -> str:
+    """A new folder that all executors share, below the one the session names; it is removed when the driver ends."""
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
+    if root is None:
+        if not re.match(r"local($|\[)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="quire-")
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{root}/quire-{kind}-{uuid.uuid4().hex}")
+    files = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return path.toString()
+
+
 class Fixture:
     """Rows that both engines read: a DataFrame here, a VALUES list there."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import checks, generators, joins, markup, windows
+from quire.operators import checks, generators, markup, windows
 from quire.plans.catalog import Fixture, query, table
 from quire.plans.text_queries import _HEADINGS, BOOKS
 
@@ -19,55 +19,6 @@ _TEX = TEX.sql()
 _TEX_LINES = f"(SELECT doc, unnest(range(1, len(l) + 1)) AS line, unnest(l) AS t FROM (SELECT doc, string_split(text, chr(10)) AS l FROM {_TEX}))"
 _CODE = f"(SELECT doc, line, regexp_replace(t, '%.*', '') AS t FROM {_TEX_LINES})"
 
-PAIRS = Fixture("doc string, source string, target string", [
-    ("ok", "公式 $$E = mc^{2}\\tag{1.1}$$ 中 3.5 米", "Formula $$E=mc^2 \\tag{1.1}$$ of 3.5 m"),
-    ("exponent", "$$x^{10}+y$$", "$$x^{11}+y$$"),
-    ("sign", "$$a-b=c$$", "$$a+b=c$$"),
-    ("lost", "$$a=1$$\n\n$$b=2$$", "$$a=1$$"),
-    ("tag", "$$a=b$$ (12.3)\n", "$$a=b$$\n"),
-    ("format", "$\\dfrac{1}{2}\\le x$", "$\\frac12 \\leq x$"),
-])
-
-
-@query("g06_latex_spans", None)
-def g06(spark, sf_dir):
-    return generators.latex_spans(TEX.frame(spark))
-
-
-@query("g07_scanned_spans", None)
-def g07(spark, sf_dir):
-    return markup.scanned_spans(TEX.frame(spark), latex=True)
-
-
-@query("g08_canonical_tokens", None)
-def g08(spark, sf_dir):
-    rows = [(k, 0, b) for k, b in enumerate((r"\mathrm{sin} {x}^{\prime}", r"{{a b}} \le c", r"10^{-20}", r"\text{if } x_{02}", r"a \times b , ", "x（1）"))]
-    return markup.span_tokens(spark.createDataFrame(rows, "doc long, nth long, body string"))
-
-
-@query("g10_prose_numbers", None)
-def g10(spark, sf_dir):
-    return markup.prose_numbers(PAIRS.frame(spark).select("doc", F.col("source").alias("text")), latex=False)
-
-
-@query("g11_equation_tags", "SELECT * FROM (VALUES ('001', '1.1', CAST(1 AS BIGINT)), ('002', '2.1', 1), ('002', '2.2', 1), ('002', '2.3', 1)) v(doc, tag, times)")
-def g11(spark, sf_dir):
-    return markup.equation_tags(TEX.frame(spark), latex=True)
-
-
-@query("g17_braced_arguments", "SELECT * FROM (VALUES ('001', 'chapter', false, CAST(0 AS BIGINT), '1 Motion'), ('001', 'section', false, 19, '1.1 Speed')) v(doc, command, star, \"at\", argument)")
-def g17(spark, sf_dir):
-    return markup.braced_arguments(TEX.frame(spark), ["chapter", "section", "caption"])
-
-
-@query("g18_environment_issues", "SELECT * FROM (VALUES ('002', 'crossed', 'itemize', CAST(3 AS BIGINT)), ('002', 'crossed', 'center', 4)) v(doc, kind, name, line)")
-def g18(spark, sf_dir):
-    return markup.environment_issues(TEX.frame(spark))
-
-
-@query("c04_padded_spans", "SELECT 'a' AS doc, CAST(5 AS BIGINT) AS line, ' y ' AS body")
-def c04(spark, sf_dir):
-    return checks.padded_spans(generators.math_spans(BOOKS.frame(spark))).select("doc", "line", "body")
 
 
 @query("c06_unbalanced_braces", f"SELECT doc, len(regexp_extract_all(t, '\\{{')) - len(regexp_extract_all(t, '\\}}')) AS depth FROM (SELECT doc, regexp_replace(text, '\\\\.', '', 'g') AS t FROM {_TEX}) WHERE len(regexp_extract_all(t, '\\{{')) <> len(regexp_extract_all(t, '\\}}'))")
@@ -75,23 +26,12 @@ def c06(spark, sf_dir):
     return checks.unbalanced(TEX.frame(spark)).select("doc", "depth")
 
 
-@query("c07_many_tags", "SELECT '002' AS doc, 'c=d\\tag{2.2}\\tag{2.3}' AS body, CAST(2 AS BIGINT) AS tags")
-def c07(spark, sf_dir):
-    return checks.many_tags(generators.latex_spans(TEX.frame(spark))).select("doc", "body", "tags")
-
-
 @query("c12_heading_levels", "SELECT doc, CAST(sum(n) AS BIGINT) AS headings, max(n) AS largest, sum(n) >= 20 AND max(n) * 10 >= sum(n) * 9 AS flat FROM (SELECT page_id AS doc, level, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, '<h([1-6])', 1)) AS level FROM pages) GROUP BY ALL) GROUP BY doc")
 def c12(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc"), F.explode(F.regexp_extract_all("html", F.lit(r"<h([1-6])"), 1)).alias("level"))
     return checks.heading_levels(pages)
 
 
-@query("c13_missing_images", "SELECT 'b' AS doc, 'images/b.png' AS path")
-def c13(spark, sf_dir):
-    files = spark.createDataFrame([("images/a.png",)], "file string")
-    return checks.missing_files(generators.image_references(BOOKS.frame(spark)), files)
-
-
 @query("c15_preamble_leaks", f"SELECT doc, line FROM {_CODE} WHERE regexp_matches(t, '\\\\documentclass|\\\\usepackage|\\\\begin\\{{document\\}}|\\\\end\\{{document\\}}')")
 def c15(spark, sf_dir):
     return markup.preamble_leaks(TEX.frame(spark))
@@ -107,122 +47,21 @@ def c19(spark, sf_dir):
     return markup.bare_delimiters(TEX.frame(spark))
 
 
-@query("c20_table_defects", "SELECT * FROM (VALUES ('a', CAST(0 AS BIGINT), CAST(2 AS BIGINT), ''), ('a', 1, 1, 'merged cells'), ('b', 0, 2, 'ragged rows'), ('b', 1, 0, 'no rows')) v(doc, nth, rows, defect)")
-def c20(spark, sf_dir):
-    return markup.html_tables(HTML.frame(spark))
-
-
 HTML = Fixture("doc string, text string", [("a", "x<table><tr><th>A</th><th>B</th></tr><tr><td>1</td><td>2|3</td></tr></table>y<table><tr><td colspan=2>m</td></tr></table>"), ("b", "<table><tr><td>1</td></tr><tr><td>1</td><td>2</td></tr></table><table></table>")])
 
 
-@query("p04_pipe_tables", "SELECT * FROM (VALUES ('a', CAST(1 AS BIGINT), CAST(1 AS BIGINT), 'x' || chr(10) || chr(10) || '| A | B |' || chr(10) || '| --- | --- |' || chr(10) || '| 1 | 2\\|3 |' || chr(10) || chr(10) || 'y<table><tr><td colspan=2>m</td></tr></table>'), ('b', 0, 2, '<table><tr><td>1</td></tr><tr><td>1</td><td>2</td></tr></table><table></table>')) v(doc, converted, kept, text)")
-def p04(spark, sf_dir):
-    return markup.pipe_tables(HTML.frame(spark))
-
-
 @query("c25_required_packages", f"WITH u AS (SELECT doc, line, unnest(regexp_extract_all(t, '\\\\([A-Za-z]+)', 1)) AS command FROM {_CODE}) SELECT doc, command, count(*) AS n, min(line) AS line FROM u WHERE command = 'cancel' GROUP BY doc, command")
 def c25(spark, sf_dir):
     packages = spark.createDataFrame([("multirow", "multirow"), ("cancel", "cancel"), ("color", "color"), ("color", "xcolor")], "command string, provider string")
     return markup.required_packages(TEX.frame(spark), packages)
 
 
-@query("c33_pair_fidelity", "SELECT * FROM (VALUES ('exponent', 'numbers', 'review', 'lost ^10'), ('exponent', 'numbers', 'review', 'added ^11'), ('exponent', 'changed-block', 'review', 'x ^ 10 + y'), ('sign', 'changed-block', 'review', 'a - b = c'), ('lost', 'display-count', 'review', '2 became 1'), ('lost', 'numbers', 'review', 'lost 2'), ('tag', 'equation-tags', 'review', 'lost 12.3'), ('tag', 'prose-numbers', 'info', '12.3')) v(doc, check_name, severity, message)")
-def c33(spark, sf_dir):
-    return markup.pair_fidelity(PAIRS.frame(spark).filter("doc <> 'format'")).withColumnRenamed("check", "check_name")
-
-
-LEVELS = Fixture("title string, level int", [("Chapter 1 Motion", 2), ("Same", 0), ("2.1 Heat", 2)])
-
-
-@query("p02_relevelled", "SELECT * FROM (VALUES ('a', 'relevelled', CAST(1 AS BIGINT)), ('a', 'unchanged', 1), ('b', 'unchanged', 2), ('d', 'demoted', 2)) v(doc, change, n)")
-def p02(spark, sf_dir):
-    changed = markup.relevelled(BOOKS.frame(spark), LEVELS.frame(spark)).filter("change is not null")
-    return changed.groupBy("doc", "change").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("p01_merged_headings", "SELECT 'm' AS doc, CAST(1 AS BIGINT) AS line, '# 第一章 运动' AS text UNION ALL SELECT 'm', 5, 'text'")
-def p01(spark, sf_dir):
-    return markup.merged_headings(spark.createDataFrame([("m", "## 第一章\n\n# 运动\n\ntext")], "doc string, text string"))
-
-
-@query("p03_structured", "SELECT * FROM (VALUES ('s', CAST(1 AS BIGINT), '#* Preface'), ('s', 2, '##* Thanks'), ('s', 3, '# One'), ('s', 4, '## Summary'), ('s', 5, '2. item'), ('s', 6, 'end')) v(doc, line, text)")
-def p03(spark, sf_dir):
-    docs = spark.createDataFrame([("s", "# preface\n## Thanks\n# 1 one\n## Summary\n### 2. item\nend")], "doc string, text string")
-    divisions = spark.createDataFrame([("s", 1, "frontmatter", "Preface"), ("s", 3, "chapter", "One")], "doc string, line long, kind string, title string")
-    return markup.structured(docs, divisions)
-
-
-@query("a07_division_evidence", "SELECT 'e' AS doc, CAST(1 AS BIGINT) AS division, '12' AS prefix, CAST(3 AS BIGINT) AS times")
-def a07(spark, sf_dir):
-    return markup.division_evidence(spark.createDataFrame([("e", "# Heat\n## 12.1 A\nFig. 12.3 x\n$$a\\tag{12.1}$$")], "doc string, text string"))
-
-
-@query("p07_restored_images", "SELECT '003' AS doc, CAST(1 AS BIGINT) AS unknown, true AS restored")
-def p07(spark, sf_dir):
-    images = spark.createDataFrame([("003", "IMG_0001", "images/a.png")], "doc string, token string, path string")
-    out = markup.restored_images(TEX.frame(spark).filter("doc = '003'"), images)
-    return out.select("doc", "unknown", F.contains("text", F.lit("{images/a.png}")).alias("restored"))
-
-
-@query("p16_without_images", "SELECT * FROM (VALUES ('i', CAST(1 AS BIGINT), 'a  b'), ('i', 3, '![y](y.png)')) v(doc, line, text)")
-def p16(spark, sf_dir):
-    docs = spark.createDataFrame([("i", "a ![x](x.png) b\n![x](x.png)\n![y](y.png)")], "doc string, text string")
-    return markup.without_images(docs, spark.createDataFrame([("i", "x.png")], "doc string, path string"))
-
-
-@query("p15_wide_tables", "SELECT '003' AS doc, CAST(1 AS BIGINT) AS fitted")
-def p15(spark, sf_dir):
-    return markup.wide_tables(TEX.frame(spark).filter("doc = '003'")).select("doc", "fitted")
-
-
-@query("g12_image_sites", "SELECT * FROM (VALUES ('b', 'images/a.png', CAST(3 AS BIGINT), '2.1'), ('d', 'images/a.png', 7, NULL), ('d', 'http://x.org/c.png', 7, NULL)) v(doc, path, line, number)")
-def g12(spark, sf_dir):
-    return markup.image_sites(BOOKS.frame(spark))
-
-
-@query("p25_caption_numbers", "SELECT * FROM (VALUES ('Fig. 2.1 Heat', '2.1'), ('图12-3 热', '12.3'), ('no number', NULL), ('Table A1', 'A1'), ('图1 一句话。', NULL)) v(caption, number)")
-def p25(spark, sf_dir):
-    rows = spark.createDataFrame([(x,) for x in ("Fig. 2.1 Heat", "图12-3 热", "no number", "Table A1", "图1 一句话。")], "caption string")
-    return rows.select("caption", markup.caption_number(F.col("caption")).alias("number"))
-
-
-@query("g19_layout_images", "SELECT * FROM (VALUES ('l', 'a.png', '2.1', CAST(50 AS BIGINT)), ('l', 'b.png', NULL, 90)) v(doc, name, number, percent)")
-def g19(spark, sf_dir):
-    long = "x" * 60
-    rows = [
-        ("l", 0, "text", long, None, [0.0, 0.0, 800.0, 10.0], None, []),
-        ("l", 1, "image", "", None, [0.0, 0.0, 400.0, 10.0], "images/a.png", ["panel", "Fig. 2.1 Heat"]),
-        ("l", 2, "image", "", None, [0.0, 0.0, 900.0, 10.0], "images/b.png", []),
-        ("l", 3, "image", "", None, [0.0, 0.0, 1.0, 10.0], "images/a.png", []),
-    ]
-    return markup.layout_images(spark.createDataFrame(rows, "doc string, pos int, type string, text string, text_level int, bbox array<double>, img_path string, captions array<string>"))
-
-
 @query("w06_sections", f"SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY off) AS nth, title, off AS first, CAST(coalesce(lead(off) OVER (PARTITION BY doc ORDER BY off), length(text)) - 1 AS BIGINT) AS last FROM {_HEADINGS} JOIN {BOOKS.sql()} USING (doc)")
 def w06(spark, sf_dir):
     docs = BOOKS.frame(spark)
     return windows.sections(generators.headings(docs), docs.select("doc", F.length("text").cast("long").alias("total")))
 
 
-@query("j06_alignment", None)
-def j06(spark, sf_dir):
-    rows = [("a", ["x = 1", "y = 2", "z = 3"], ["x = 1", "y = 3", "z = 3"]), ("b", ["a b c d", "e"], ["q", "a b c", "r"])]
-    return joins.aligned(spark.createDataFrame(rows, "doc string, source array<string>, target array<string>"))
-
-
-@query("j11_overlap", "SELECT 'o' AS doc, CAST(50 AS BIGINT) AS k UNION ALL SELECT 'p', 0")
-def j11(spark, sf_dir):
-    shared = "0123456789" * 5
-    rows = spark.createDataFrame([("o", "head " + shared, shared + " tail"), ("p", "one text", "another text")], "doc string, a string, b string")
-    return rows.select("doc", joins.overlap_length(F.col("a"), F.col("b")).alias("k"))
-
-
-@query("p09_fences", "SELECT * FROM (VALUES ('```tex\nbody\n```\n', 'body\n'), ('plain', 'plain'), ('```\nx', 'x')) v(raw, text)")
-def p09(spark, sf_dir):
-    rows = spark.createDataFrame([("```tex\nbody\n```\n",), ("plain",), ("```\nx",)], "raw string")
-    return rows.select("raw", T.strip_fence(F.col("raw")).alias("text"))
-
-
 @query("p10_sentinels", "SELECT doc_id AS doc, trim(regexp_replace(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')[-1], '^\\s+|\\s+$', '', 'g')) AS last FROM documents WHERE trim(text) <> ''")
 def p10(spark, sf_dir):
     return table(spark, sf_dir, "documents").filter("trim(text) <> ''").select(F.col("doc_id").alias("doc"), T.last_line(F.col("text")).alias("last"))
@@ -233,20 +72,3 @@ def p13(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), "text")
     fixed = checks.fix_counts(docs, [("doubled", "!!+", "!"), ("spaces", "  +", " ")])
     return fixed.select("doc", F.sha2("text", 256).alias("digest"), "doubled")
-
-
-@query("p21_repair_variants", "SELECT * FROM (VALUES (CAST(1 AS BIGINT)), (2)) v(n)")
-def p21(spark, sf_dir):
-    rows = spark.createDataFrame([("a\frac",), ("plain",)], "s string")
-    return rows.select(F.size(T.repair_variants(F.col("s"))).cast("long").alias("n"))
-
-
-@query("p28_page_offsets", "SELECT doc_id AS doc, n_chars + 12 AS original FROM documents")
-def p28(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), (F.col("n_chars") + 12).alias("original"))
-
-
-@query("s08_image_kinds", "SELECT * FROM (VALUES ('FFD8FFE0', 'image/jpeg'), ('89504E470D0A1A0A00', 'image/png'), ('474946383961', 'image/gif'), ('524946460000000057454250', 'image/webp'), ('00', NULL)) v(hex, kind)")
-def s08(spark, sf_dir):
-    rows = spark.createDataFrame([(x,) for x in ("FFD8FFE0", "89504E470D0A1A0A00", "474946383961", "524946460000000057454250", "00")], "hex string")
-    return rows.select("hex", T.image_kind(F.unhex("hex")).alias("kind"))

@@ -4,97 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators import generators, markup, records, rewrites, windows
+from quire.operators import records, rewrites, windows
 from quire.plans.catalog import Fixture, query, table
-from quire.plans.markup_queries import TEX
-from quire.plans.text_queries import BOOKS
 from quire.streaming import events, state
 
 
-@query("p29_verdicts", "SELECT * FROM (VALUES (CAST(1 AS BIGINT), 'figure', CAST(1.0 AS DOUBLE), true, NULL), (2, 'decoration', 0.5, NULL, NULL), (3, NULL, NULL, NULL, 'malformed'), (4, NULL, NULL, NULL, 'malformed'), (5, NULL, NULL, NULL, 'malformed')) v(id, label, confidence, chinese_text, flag)")
-def p29(spark, sf_dir):
-    rows = [(1, 'Sure: {"label": "figure", "confidence": 3, "chinese_text": true}'), (2, '{"label": "decoration", "confidence": 0.5, "chinese_text": "yes"}'), (3, "no json"), (4, '{"label": "figure", "confidence": true}'), (5, '{"label": "cat", "confidence": 1}')]
-    return records.verdicts(spark.createDataFrame(rows, "id long, reply string"))
-
-
-@query("t10_decisions", "SELECT * FROM (VALUES (CAST(1 AS BIGINT), true, NULL), (2, false, NULL), (3, true, 'gap'), (4, true, 'uncertain'), (5, true, 'unclassified'), (6, true, 'malformed')) v(id, keep, flag)")
-def t10(spark, sf_dir):
-    rows = [(1, "figure", 0.2, False, None), (2, "decoration", 0.95, False, None), (3, "decoration", 0.95, True, None), (4, "decoration", 0.5, False, None), (5, None, None, False, None), (6, None, None, False, "malformed")]
-    return records.decided(spark.createDataFrame(rows, "id long, label string, confidence double, in_gap boolean, flag string")).select("id", "keep", F.col("new_flag").alias("flag"))
-
-
 SITES = Fixture("doc string, pos long, number string", [("a", 1, "18.3"), ("a", 2, None), ("a", 3, "18.5"), ("a", 4, None), ("a", 5, "19.1"), ("a", 6, None), ("b", 1, None), ("b", 2, "2-2"), ("b", 3, "2-2"), ("b", 4, "2-5")])
 
 
-@query("j15_figure_gaps", "SELECT 'a' AS doc, CAST(2 AS BIGINT) AS pos UNION ALL SELECT 'b', 1")
-def j15_figures(spark, sf_dir):
-    return records.figure_gaps(SITES.frame(spark)).select("doc", "pos")
-
-
-@query("c31_figure_numbers", "SELECT * FROM (VALUES ('a', '18', CAST(1 AS BIGINT), 'missing'), ('a', '18', 2, 'missing'), ('a', '18', 4, 'missing'), ('b', '2', 1, 'missing'), ('b', '2', 2, 'duplicate'), ('b', '2', 3, 'missing'), ('b', '2', 4, 'missing')) v(doc, seq, at_number, problem)")
-def c31(spark, sf_dir):
-    return records.figure_numbers(SITES.frame(spark)).withColumnRenamed("at", "at_number")
-
-
-@query("c32_figure_coverage", "SELECT * FROM (VALUES ('k', 'IMG_0002', 'no-record'), ('k', 'IMG_0003', 'dropped'), ('k', 'IMG_0004', 'unused')) v(doc, token, problem)")
-def c32(spark, sf_dir):
-    used = spark.createDataFrame([("k", f"IMG_000{k}") for k in (1, 2, 3, 3)], "doc string, token string")
-    tokens = spark.createDataFrame([("k", f"IMG_000{k}", f"images/{k}.png") for k in (1, 2, 3, 4)], "doc string, token string, path string")
-    kept = spark.createDataFrame([("k", "1.png", True), ("k", "3.png", False)], "doc string, name string, keep boolean")
-    return records.figure_coverage(used, tokens, kept)
-
-
-@query("c34_finding_problems", "SELECT * FROM (VALUES (CAST(1 AS BIGINT), ''), (2, 'unknown kind,fix without text'), (3, 'excerpt not found,repeated id'), (3, 'repeated id')) v(id, problems)")
-def c34(spark, sf_dir):
-    rows = [("001", 1, "formula", "major", "keep", "a $b$", None, "x a b y"), ("001", 2, "odd", "minor", "fix", "a", "", "a"), ("001", 3, "number", "minor", "report", "zz", None, "a"), ("001", 3, "number", "minor", "report", "a", None, "a")]
-    frame = spark.createDataFrame(rows, "doc string, id long, kind string, severity string, action string, excerpt string, fixed_text string, text string")
-    return records.finding_problems(frame).select("id", F.array_join("problems", ",").alias("problems"))
-
-
-@query("c35_spec_problems", "SELECT * FROM (VALUES ('a', ''), ('b', 'unknown method'), ('c', 'no labels'), ('d', 'bad box,untranslated label')) v(image, problems)")
-def c35(spark, sf_dir):
-    rows = [("a", "overlay", [("速度", "speed", [0.1, 0.1, 0.2, 0.2])]), ("b", "paint", []), ("c", "redraw", []), ("d", "overlay", [("力", "力", [0.5, 0.1, 0.2, 0.2])])]
-    frame = spark.createDataFrame(rows, "image string, method string, labels array<struct<zh:string,en:string,box:array<double>>>")
-    return records.spec_problems(frame).select("image", F.array_join("problems", ",").alias("problems"))
-
-
-@query("c36_first_heading", "SELECT * FROM (VALUES ('b', 'no chapter'), ('c', 'front matter')) v(doc, warning)")
-def c36(spark, sf_dir):
-    docs = spark.createDataFrame([("a", "# Part One\n# Chapter 1"), ("b", "# Notes\n# Chapter 1"), ("c", "# Preface"), ("d", "# 第一章 力")], "doc string, text string")
-    return records.first_heading(generators.headings(docs))
-
-
-@query("c26_chapter_drift", "SELECT * FROM (VALUES ('d', CAST(3 AS BIGINT), CAST(3 AS BIGINT), CAST(2 AS BIGINT), CAST(1 AS BIGINT))) v(doc, pos, number, tagged, drift)")
-def c26(spark, sf_dir):
-    rows = [("d", 1, False, [1, 1]), ("d", 2, False, []), ("d", 3, False, [2, 2, 9]), ("d", 4, True, [7]), ("d", 5, False, [3])]
-    return records.chapter_drift(spark.createDataFrame(rows, "doc string, pos long, starred boolean, tags array<long>"))
-
-
-@query("j12_located_pages", None)
-def j12(spark, sf_dir):
-    excerpts = spark.createDataFrame([("d", 1, 1, 2, "energy is conserved"), ("d", 2, 1, 1, "momentum of a body is mass times velocity"), ("d", 3, 1, 3, "nothing like this anywhere zzzz")], "doc string, id long, first long, last long, excerpt string")
-    pages = spark.createDataFrame([("d", 1, "the energy is conserved here"), ("d", 2, "charge"), ("d", 9, "the momentum of a body is mass times velocities")], "doc string, page long, text string")
-    return records.located(excerpts, pages)
-
-
-@query("j16_contexts", "SELECT 'IMG_0001' AS token, 'a.md' AS file")
-def j16(spark, sf_dir):
-    files = spark.createDataFrame([("b.md", "x IMG_0001"), ("a.md", "see IMG_0001 and IMG_0002")], "file string, text string")
-    return records.context_of(spark.createDataFrame([("IMG_0001",), ("IMG_0009",)], "token string"), files).select("token", "file")
-
-
-@query("j18_error_hints", "SELECT * FROM (VALUES (401, 'no: check the credentials', 'permanent'), (429, 'no', 'transient'), (418, 'no', 'permanent')) v(status, message, class)")
-def j18(spark, sf_dir):
-    rows = spark.createDataFrame([(401,), (429,), (418,)], "status int")
-    return rows.select("status", state.hint(F.col("status"), F.lit("no")).alias("message"), state.error_class(F.col("status")).alias("class"))
-
-
-@query("c40_accepted_titles", "SELECT * FROM (VALUES ('Chapter 1 Motion', 'Motion'), ('Part One', 'Part One')) v(title, clean)")
-def c40(spark, sf_dir):
-    answers = spark.createDataFrame([("a", "Chapter 1 Motion", "chapter", "Motion"), ("a", "Part One", "part", "Other"), ("a", "Invented", "part", "x"), ("b", "Sub", "odd", "Sub")], "doc string, title string, kind string, clean string")
-    return records.accepted_titles(answers, generators.headings(BOOKS.frame(spark)), ("part", "chapter")).select("title", "clean")
-
-
 @query("t04_barrier", "SELECT count(*) AS waiting, count(*) = 0 AS open FROM documents ANTI JOIN labels USING (doc_id)")
 def t04(spark, sf_dir):
     return state.barrier(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")), table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id")))
@@ -106,14 +23,6 @@ def t07(spark, sf_dir):
     return state.answered(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")), answers)
 
 
-@query("t09_follow_ups", "SELECT 'v1' AS variant, 'k1' AS key")
-def t09(spark, sf_dir):
-    before = spark.createDataFrame([("k1",), ("k2",)], "key string")
-    after = spark.createDataFrame([("v1", "k2"), ("v2", "k9"), ("v3", "k3")], "variant string, key string")
-    answers = spark.createDataFrame([("v1", "k1"), ("v2", "k2"), ("v3", "k3")], "variant string, key string")
-    return state.accepted_follow_ups(before, after, answers)
-
-
 @query("x02_sessions", "WITH e AS (SELECT user_id, ts, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events), s AS (SELECT user_id, ts, sum(CASE WHEN gap < INTERVAL 30 MINUTE THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k")
 def x02(spark, sf_dir):
     return events.sessions(table(spark, sf_dir, "events"), "30 minutes").select("user_id", "start", "n")
@@ -124,37 +33,6 @@ def x03(spark, sf_dir):
     return events.window_counts(table(spark, sf_dir, "events"), "2 hours", slide="1 hour")
 
 
-@query("p05_prefixed_images", "SELECT * FROM (VALUES ('![f](../images/a.png)'), ('![h](http://x.org/c.png)'), ('![r](/abs.png)'), ('<img src=\"../b.png\">')) v(text)")
-def p05(spark, sf_dir):
-    rows = spark.createDataFrame([("![f](images/a.png)",), ("![h](http://x.org/c.png)",), ("![r](/abs.png)",), ('<img src="b.png">',)], "text string")
-    return rows.select(rewrites.prefixed_images(F.col("text"), "..").alias("text"))
-
-
-@query("p08_trimmed_inline", "SELECT 'Text $x$ and $y$.' AS text")
-def p08(spark, sf_dir):
-    return rewrites.trimmed_inline(BOOKS.frame(spark)).filter("doc = 'a' and line = 5").select("text")
-
-
-@query("p14_figure_widths", "SELECT * FROM (VALUES ('a.png', CAST(48 AS BIGINT)), ('b.png', 48), ('c.png', 60)) v(name, percent)")
-def p14(spark, sf_dir):
-    calls = spark.createDataFrame([("d", 1, 0, "a.png"), ("d", 1, 1, "b.png"), ("d", 2, 0, "c.png"), ("d", 3, 0, "x.png")], "doc string, at long, slot int, name string")
-    figures = spark.createDataFrame([("d", "a.png", True, "1.1", 0.7), ("d", "b.png", True, None, 0.7), ("d", "x.png", False, None, 0.5)], "doc string, name string, keep boolean, number string, width double")
-    return rewrites.figure_widths(calls, figures).select("name", "percent")
-
-
-@query("p17_without_preamble", "SELECT '003' AS doc, CAST(3 AS BIGINT) AS lost")
-def p17(spark, sf_dir):
-    docs = TEX.frame(spark).filter("doc = '003'")
-    cut = rewrites.without_preamble(docs).withColumnRenamed("text", "new")
-    return docs.join(cut, "doc").select("doc", (F.regexp_count("text", F.lit("\n")) - F.regexp_count("new", F.lit("\n")) + 2).cast("long").alias("lost"))
-
-
-@query("p17_first_chapter", "SELECT * FROM (VALUES (CAST(13 AS BIGINT)), (1)) v(first)")
-def p17_first(spark, sf_dir):
-    rows = spark.createDataFrame([("\\setcounter{chapter}{12}",), ("none",)], "preamble string")
-    return rows.select(rewrites.first_chapter(F.col("preamble")))
-
-
 @query("p22_filled_template", "SELECT c_custkey, 'Title: ' || c_name || '; no ' || c_custkey AS cover FROM customer")
 def p22(spark, sf_dir):
     template = F.lit("Title: %%NAME%%; no %%NO%%")
@@ -168,50 +46,12 @@ def p30(spark, sf_dir):
     return docs.select(F.col("doc_id").alias("doc"), F.length(blank).cast("long").alias("n"), F.sha2(blank, 256).alias("digest"))
 
 
-@query("p31_coerced_levels", "SELECT CAST(1 AS BIGINT) AS kept")
-def p31(spark, sf_dir):
-    rows = spark.createDataFrame([({"a": "2", "b": "9", "c": "x"},)], "levels map<string,string>")
-    return rows.select(F.size(rewrites.coerced_levels(F.col("levels"))).cast("long").alias("kept"))
-
-
 @query("p32_prompts", "SELECT conv_id, sha256(string_agg(turn || '. ' || role, chr(10) ORDER BY turn)) AS digest FROM conversations GROUP BY conv_id")
 def p32(spark, sf_dir):
     line = F.concat(F.col("turn").cast("string"), F.lit(". "), F.col("role"))
     return rewrites.prompt(table(spark, sf_dir, "conversations"), "conv_id", "turn", line).select("conv_id", F.sha2("prompt", 256).alias("digest"))
 
 
-@query("c21_doubled_numbers", "SELECT * FROM (VALUES ('001', 'chapter'), ('001', 'section')) v(doc, command)")
-def c21(spark, sf_dir):
-    return rewrites.doubled_starts(markup.braced_arguments(TEX.frame(spark), ["chapter", "section"])).filter("not star").select("doc", "command")
-
-
-@query("c23_markdown_headings", "SELECT '002' AS doc, CAST(9 AS BIGINT) AS line")
-def c23(spark, sf_dir):
-    lines = generators.lines(TEX.frame(spark)).withColumn("text", F.regexp_replace("text", r"(?<!\\)%.*", ""))
-    return lines.filter(F.col("text").rlike(r"^[ \t]{0,3}#{1,6}[ \t]+\S")).select("doc", "line")
-
-
-@query("c08_array_overflows", "SELECT 'x' AS doc, 2 AS columns, 3 AS cells")
-def c08(spark, sf_dir):
-    docs = spark.createDataFrame([("x", "\\begin{tabular}{ll}a&b\\\\c&{d&e}&f\\end{tabular}")], "doc string, text string")
-    return rewrites.array_overflows(docs)
-
-
-@query("c09_dangling_commands", "SELECT 'x' AS doc, 'frac' AS command")
-def c09(spark, sf_dir):
-    from quire.operators import checks
-
-    spans = generators.math_spans(spark.createDataFrame([("x", "$a\\frac$ and $\\alpha$")], "doc string, text string"))
-    return checks.dangling(spans, spark.createDataFrame([("frac",), ("sqrt",)], "command string")).select("doc", "command")
-
-
-@query("c11_doubled_commands", "SELECT 'x' AS doc, 'text' AS command")
-def c11(spark, sf_dir):
-    from quire.operators import checks
-
-    return checks.doubled_commands(spark.createDataFrame([("x", "\\texttext{a} \\alpha")], "doc string, text string"))
-
-
 @query("a05_page_spans", "SELECT source AS doc, l[len(l) // 10 + 1] AS low, l[least(len(l) - 1, len(l) * 9 // 10) + 1] AS high FROM (SELECT source, list_sort(list(doc_id)) AS l FROM documents GROUP BY source)")
 def a05_spans(spark, sf_dir):
     return records.span_of_pages(table(spark, sf_dir, "documents").select(F.col("source").alias("doc"), F.col("doc_id").alias("page")))

@@ -178,12 +178,6 @@ def p33(spark, sf_dir):
     return documents(spark, sf_dir).select("doc", T.chunk_id(F.concat((F.col("doc") % 1000).cast("string"), F.lit(".md"))).alias("id"))
 
 
-@query("p24_chinese_numbers", "SELECT * FROM (VALUES ('三', 3), ('十', 10), ('十二', 12), ('二十', 20), ('三十五', 35), ('一百零三', 103), ('两百', 200), ('一千二百三十四', 1234), ('甲', NULL), ('', NULL)) v(s, n)")
-def p24(spark, sf_dir):
-    rows = [(x,) for x in ("三", "十", "十二", "二十", "三十五", "一百零三", "两百", "一千二百三十四", "甲", "")]
-    return spark.createDataFrame(rows, "s string").select("s", T.chinese_number(F.col("s")).cast("int").alias("n"))
-
-
 @query("w08_line_packing", "WITH RECURSIVE l AS (SELECT doc_id AS doc, unnest(range(1, len(x) + 1)) AS k, length(unnest(x)) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents)), r AS (SELECT doc, k, n, CAST(1 AS BIGINT) AS chunk, n + 2 AS size FROM l WHERE k = 1 UNION ALL SELECT l.doc, l.k, l.n, CASE WHEN r.size > 0 AND r.size + l.n > 600 THEN r.chunk + 1 ELSE r.chunk END, CASE WHEN r.size > 0 AND r.size + l.n > 600 THEN l.n + 2 ELSE r.size + l.n + 2 END FROM r JOIN l ON l.doc = r.doc AND l.k = r.k + 1) SELECT doc, chunk, count(*) AS lines, CAST(sum(n) AS BIGINT) AS chars FROM r GROUP BY doc, chunk")
 def w08(spark, sf_dir):
     return windows.packed_chunks(documents(spark, sf_dir), 600)

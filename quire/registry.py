@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.plans import markup_queries, record_queries, relation_queries, text_queries  # noqa: F401  they enter themselves
+from quire.plans import generated_queries, markup_queries, record_queries, relation_queries, source_queries, text_queries  # noqa: F401  they enter themselves
 from quire.plans.catalog import ORACLES, QUERIES, Query
 
 
