@@ -11,8 +11,8 @@ Keys never meet pairwise: a key or window is reduced to its least doc_id, first
 documents, then over all groups, so that a passage of a third of all documents costs one entry for
 each group.  Entries travel packed, a binary row for each group of documents and bucket of keys.
 Texts are shuffled once, by group; the three steps that need them share that exchange.  There are as
-many groups and buckets as it takes for a group to hold ``GROUP_BYTES`` of text, so that what a task
-holds does not grow with the input.
+many groups, buckets and tasks as it takes for a group to hold ``GROUP_BYTES`` of text, so that what a
+task reads and holds does not grow with the input.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from quire.llm.common import batches, shuffle_partitions, utf8, words
 WINDOW = 50
 BLOCK = WINDOW // 2
 #: Text of a group of documents.
-GROUP_BYTES = 24_000_000
+GROUP_BYTES = 8_000_000
 #: Bits of a block's key: of 10^13 windows about one in 10^4 is an anchor by chance, and extension drops it.
 KEY_BITS = 52
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so they have inverses
@@ -140,10 +140,10 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, groups: int | No
     every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
     if groups is None:
         size = every.agg(F.sum(F.length("text"))).first()[0] or 0
-        groups = max(2 * shuffle_partitions(docs.sparkSession), -(-size // GROUP_BYTES))
+        groups = max(shuffle_partitions(docs.sparkSession), -(-size // GROUP_BYTES))
     buckets = groups
     known = every.filter("doc_id is not null")
-    grouped = known.withColumn("grp", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(groups)).cast("int"))
+    grouped = known.withColumn("grp", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(groups)).cast("int")).repartition(groups, "grp")
 
     def probe(table: pa.Table) -> pa.Table:
         """Distinct keys of a group: are they a block here (1), do several documents have them (2)?"""
@@ -257,9 +257,9 @@ def repeated_passages(docs: DataFrame, *, window: int = WINDOW, groups: int | No
         return _table(rows, CUT, CUT_TYPES)
 
     probes = grouped.groupBy("grp").applyInArrow(probe, "bucket int, grp int, keys binary, flags binary")
-    shared = probes.groupBy("bucket").applyInArrow(anchors, "grp int, keys binary")
+    shared = probes.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(anchors, "grp int, keys binary")
     near = grouped.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(extend, "bucket int, grp int, h binary, g binary, owner binary, several binary")
-    repeats = near.groupBy("bucket").applyInArrow(least, "grp int, h binary, g binary, owner binary")
+    repeats = near.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(least, "grp int, h binary, g binary, owner binary")
     out = grouped.groupBy("grp").cogroup(repeats.groupBy("grp")).applyInArrow(cut, CUT_SCHEMA)
     rest = every.filter("doc_id is null").mapInArrow(batches(_uncut), CUT_SCHEMA)
     return out.unionByName(rest).select("doc_id", "n_words", "n_removed", "spans", F.col("kept").cast("string").alias("kept_text"))

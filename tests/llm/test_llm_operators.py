@@ -177,6 +177,9 @@ def test_trie_is_bounded():
     tokens = ["▁" + "".join(rng.choice("abc") for _ in range(rng.randrange(9))) for _ in range(300)]
     assert [trie.count(t) for t in tokens] == [plain.count(t) for t in tokens] == [naive_count(model, t) for t in tokens]
     assert trie.size <= 10 + tokencount.MAX_SHARED
+    for n in (tokencount.MAX_SHARED - 1, tokencount.MAX_SHARED, tokencount.MAX_SHARED + 1, 300):  # across the border, shared or not
+        token = "▁" + "".join(rng.choice("ab") for _ in range(n - 1))
+        assert plain.count(token) == plain._unshared(token) == naive_count(model, token)
 
 
 def alnum(text):
