@@ -21,6 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -40,6 +41,14 @@ SEGMENT = "task int, part int, doc_ids array<long>, starts array<long>, lengths
 MATCHES = "task int, part int, nth int, doc_id long, n_words long, items array<string>, near array<string>, spans array<struct<start:int,end:int>>"
 
 
+class _Ids(dict):
+    """A number for each term, in order of first use; known terms are looked up without a call of Python code."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = number = len(self)
+        return number
+
+
 def positional_index(docs: DataFrame, *, segment_words: int = SEGMENT_WORDS) -> DataFrame:
     """Segments of (doc_id, text) with the postings of all terms.
 
@@ -48,7 +57,7 @@ def positional_index(docs: DataFrame, *, segment_words: int = SEGMENT_WORDS) ->
 
     def build(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, part = TaskContext.get().partitionId(), 0
-        own: dict[bytes, int] = {}
+        own = _Ids()
         doc_ids, starts, lengths, terms, at, size = [], [], [], [], [], 0
 
         def segment() -> pa.RecordBatch:
@@ -65,7 +74,7 @@ def positional_index(docs: DataFrame, *, segment_words: int = SEGMENT_WORDS) ->
         for batch in source:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = alnum_words(text)
-                terms.append(np.fromiter((own.setdefault(w, len(own)) for w in found), np.int32, len(found)))
+                terms.append(np.fromiter(map(own.__getitem__, found), np.int32, len(found)))
                 at.append(np.arange(size, size + len(found), dtype=np.int32))
                 doc_ids.append(doc_id)
                 starts.append(size)
@@ -74,7 +83,7 @@ def positional_index(docs: DataFrame, *, segment_words: int = SEGMENT_WORDS) ->
                 if size > segment_words:
                     yield segment()
                     part, size = part + 1, 0
-                    doc_ids, starts, lengths, terms, at, own = [], [], [], [], [], {}
+                    doc_ids, starts, lengths, terms, at, own = [], [], [], [], [], _Ids()
         if doc_ids:
             yield segment()
 
@@ -145,21 +154,23 @@ def search(index: DataFrame, items: list[tuple[str, bytes | None]], *, window: i
     for w in windows_of(items, frequency, window):
         by_rarest.setdefault(w.terms[0], []).append(w)
     names = [name for name, _ in items]
+    terms = pa.array(sorted(vocabulary), pa.binary())
 
     def find(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for k in range(batch.num_rows):
-                yield _matches(batch.slice(k, 1).to_pydict(), by_rarest, vocabulary, names, slop)
+                yield _matches({c: batch.column(c)[k] for c in batch.schema.names}, by_rarest, terms, names, slop)
 
     return index.mapInArrow(find, MATCHES)
 
 
-def _matches(segment: dict, by_rarest: dict[bytes, list[Window]], vocabulary: set[bytes], names: list[str], slop: int | None) -> pa.RecordBatch:
-    row = {name: values[0] for name, values in segment.items()}
-    edges = np.concatenate([[0], np.cumsum(row["freqs"])]).astype(np.int64)
-    positions = np.frombuffer(row["postings"], np.int32)
-    lists = {t: positions[edges[k] : edges[k + 1]].astype(np.int64) for k, t in enumerate(row["terms"]) if t in vocabulary}
-    starts, lengths = np.asarray(row["starts"], np.int64), np.asarray(row["lengths"], np.int64)
+def _matches(row: dict[str, pa.Scalar], by_rarest: dict[bytes, list[Window]], wanted: pa.Array, names: list[str], slop: int | None) -> pa.RecordBatch:
+    freqs, terms = row["freqs"].values.to_numpy(), row["terms"].values
+    edges = np.concatenate([[0], np.cumsum(freqs)])
+    positions = np.frombuffer(row["postings"].as_buffer(), np.int32)
+    held = np.flatnonzero(pc.is_in(terms, value_set=wanted).to_numpy(zero_copy_only=False))  # only these become objects of Python
+    lists = {t: positions[edges[k] : edges[k + 1]].astype(np.int64) for t, k in zip(terms.take(pa.array(held)).to_pylist(), held, strict=True)}
+    starts, lengths = row["starts"].values.to_numpy(), row["lengths"].values.to_numpy()
     n = len(starts)
     covered = np.zeros(int(starts[-1] + lengths[-1]) + 1, np.int32)
     exact: list[set[int]] = [set() for _ in range(n)]
@@ -186,11 +197,11 @@ def _matches(segment: dict, by_rarest: dict[bytes, list[Window]], vocabulary: se
     for doc, a, b in zip(np.searchsorted(starts, begin, side="right") - 1, begin, end, strict=True):
         spans[doc].append({"start": int(a - starts[doc]), "end": int(b - starts[doc])})
     columns = [
-        pa.array([row["task"]] * n, pa.int32()),
-        pa.array([row["part"]] * n, pa.int32()),
+        pa.array([row["task"].as_py()] * n, pa.int32()),
+        pa.array([row["part"].as_py()] * n, pa.int32()),
         pa.array(range(n), pa.int32()),
-        pa.array(row["doc_ids"], pa.int64()),
-        pa.array(lengths),
+        row["doc_ids"].values,
+        pa.array(lengths, pa.int64()),
         pa.array([sorted({names[k] for k in x}) for x in exact], pa.list_(pa.string())),
         pa.array([sorted({names[k] for k in x}) for x in near], pa.list_(pa.string())),
         pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
