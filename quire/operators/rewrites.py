@@ -64,7 +64,7 @@ def overlay(labels: Column, height: Column) -> Column:
 def blanked_comments(text: Column) -> Column:
     """Comments as as many spaces, line by line, so that offsets stay."""
     def one(line: Column) -> Column:
-        return F.rpad(F.regexp_extract(line, r"^((?:[^%\\]++|\\.)*+)", 1), F.length(line), " ")
+        return F.rpad(F.regexp_extract(line, r"^((?:[^%\\]++|\\.|\\$)*+)", 1), F.length(line), " ")
 
     return F.array_join(F.transform(F.split(text, "\n", -1), one), "\n")
 

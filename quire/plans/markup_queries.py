@@ -62,9 +62,9 @@ def w06(spark, sf_dir):
     return windows.sections(generators.headings(docs), docs.select("doc", F.length("text").cast("long").alias("total")))
 
 
-@query("p10_sentinels", "SELECT doc_id AS doc, trim(regexp_replace(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')[-1], '^\\s+|\\s+$', '', 'g')) AS last FROM documents WHERE trim(text) <> ''")
+@query("p10_sentinels", "SELECT doc_id AS doc, coalesce(trim(regexp_replace(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')[-1], '^\\s+|\\s+$', '', 'g')), '') AS last FROM documents")
 def p10(spark, sf_dir):
-    return table(spark, sf_dir, "documents").filter("trim(text) <> ''").select(F.col("doc_id").alias("doc"), T.last_line(F.col("text")).alias("last"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), T.last_line(F.col("text")).alias("last"))
 
 
 @query("p13_fixes", "SELECT doc_id AS doc, sha256(regexp_replace(regexp_replace(text, '!!+', '!', 'g'), '  +', ' ', 'g')) AS digest, CAST(len(regexp_extract_all(text, '!!+')) AS BIGINT) AS doubled FROM documents")

@@ -162,10 +162,24 @@ def p11(spark, sf_dir):
     return documents(spark, sf_dir).select("doc", F.length(T.without_math(F.col("text"))).cast("long").alias("prose"))
 
 
-@query("p12_escape_latex", "SELECT doc_id AS doc, replace(replace(replace(replace(replace(replace(replace(text, '&', '\\&'), '%', '\\%'), '$', '\\$'), '#', '\\#'), '_', '\\_'), '{', '\\{'), '}', '\\}') AS tex, regexp_matches(text, '^[\\x{00}-\\x{FF}]*$') AS latin1 FROM documents WHERE NOT regexp_matches(text, '[\\\\~^]')")
+def _escaped_sql() -> str:
+    """The special signs replaced one after the other; three of them by way of control characters, so that no escape is escaped."""
+    text = "text"
+    for k, sign in enumerate("\\~^", 1):
+        text = f"replace({text}, '{sign}', chr({k}))"
+    for sign in "#$%&_{}":
+        text = f"replace({text}, '{sign}', '\\{sign}')"
+    for k, name in enumerate(("backslash", "asciitilde", "asciicircum"), 1):
+        text = f"replace({text}, chr({k}), '\\text{name}{{}}')"
+    return f"SELECT doc_id AS doc, {text} AS tex, coalesce(regexp_matches(text, '^[\\x{{00}}-\\x{{FF}}]*$'), false) AS latin1 FROM documents"
+
+
+_ESCAPED = _escaped_sql()
+
+
+@query("p12_escape_latex", _ESCAPED)
 def p12(spark, sf_dir):
-    docs = documents(spark, sf_dir).filter(~F.col("text").rlike(r"[\\~^]"))
-    return docs.select("doc", T.escape_latex(F.col("text")).alias("tex"), T.latin1_only(F.col("text")).alias("latin1"))
+    return documents(spark, sf_dir).select("doc", T.escape_latex(F.col("text")).alias("tex"), T.latin1_only(F.col("text")).alias("latin1"))
 
 
 @query("p23_filename", "SELECT doc_id AS doc, left(regexp_replace(regexp_replace(regexp_replace(t, '[\\\\/:*?\"<>|]', '', 'g'), '\\s+', '_', 'g'), '^[_.]+|[_.]+$', '', 'g'), 80) AS name FROM (SELECT doc_id, string_split(text, chr(10))[1] AS t FROM documents)")
@@ -237,9 +251,9 @@ def a09(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy("source").agg(F.bool_or(F.col("n_chars") > 10000).alias("any_long"), F.bool_and(F.col("n_chars") > 10).alias("all_some"))
 
 
-@query("a10_ordered_concat", "SELECT conv_id, sha256(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS digest, count(*) AS turns FROM conversations WHERE text IS NOT NULL GROUP BY conv_id")
+@query("a10_ordered_concat", "SELECT conv_id, sha256(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS digest, count(*) AS turns FROM conversations GROUP BY conv_id")
 def a10(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").filter("text is not null").withColumn("said", F.concat("role", F.lit(": "), "text"))
+    turns = table(spark, sf_dir, "conversations").withColumn("said", F.concat("role", F.lit(": "), "text"))
     return turns.groupBy("conv_id").agg(F.sha2(F.expr("listagg(said, '\n') within group (order by turn)"), 256).alias("digest"), F.count(F.lit(1)).alias("turns"))
 
 
@@ -259,9 +273,9 @@ def p18(spark, sf_dir):
     return windows.sample_heads(documents(spark, sf_dir))
 
 
-@query("t03_request_ids", "SELECT conv_id, turn, left(sha256(role || chr(31) || text), 16) AS id FROM conversations WHERE text IS NOT NULL")
+@query("t03_request_ids", "SELECT conv_id, turn, left(sha256(concat_ws(chr(31), role, text)), 16) AS id FROM conversations")
 def t03_ids(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").filter("text is not null").select("conv_id", "turn", T.request_id(F.col("role"), F.col("text")).alias("id"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.request_id(F.col("role"), F.col("text")).alias("id"))
 
 
 @query("p19_json_object", "SELECT event_id, CASE WHEN contains(s, '{') AND contains(s, '}') THEN substr(s, strpos(s, '{'), length(s) - strpos(reverse(s), '}') + 2 - strpos(s, '{')) END AS doc FROM (SELECT event_id, 'Here: ' || coalesce(props, '') || ' done' AS s FROM events)")
