@@ -91,7 +91,7 @@ def chapter_tags(docs: DataFrame) -> DataFrame:
 
     def rows(text: str | None) -> Iterator[tuple]:
         found = list(re.finditer(r"\\chapter(\*?)\s*(?:\[[^]]*])?\{", text or ""))
-        for k, (m, after) in enumerate(zip(found, [*found[1:], None], strict=True), 1):
+        for k, (m, after) in enumerate(zip(found, [*found[1:], None], strict=False), 1):
             body = text[m.end() : after.start() if after else len(text)]
             tags = [int(n[1]) for _, _, tag in M.calls(body, "tag") if (n := re.match(r"([0-9]+)[.-]", M.plain_tag(tag)))]
             yield k, bool(m[1]), tags

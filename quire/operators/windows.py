@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,6 +73,17 @@ def snapped_tiles(total: int, most: int, overlap: int, marks: list[int], *, reac
     return out
 
 
+def snapped(docs: DataFrame, *, most: int, overlap: int) -> DataFrame:
+    """(doc, first, last): the snapped tiles of documents (doc, total, marks).  A tile depends on the one before, so a document's follow each other in Python, batch by batch."""
+
+    def cut(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in source:
+            out = [(doc, *tile) for doc, total, marks in batch.itertuples(index=False) for tile in snapped_tiles(total, most, overlap, list(marks))]
+            yield pd.DataFrame(out, columns=["doc", "first", "last"])
+
+    return docs.select("doc", "total", "marks").mapInPandas(cut, f"doc {docs.schema['doc'].dataType.simpleString()}, first long, last long")
+
+
 def halved(docs: DataFrame, *, most: int) -> DataFrame:
     """(doc, first, last): page ranges halved until none is longer than ``most``.
 

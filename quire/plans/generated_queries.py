@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import checks, generators, joins, lint, markup, records, rewrites
+from quire.operators import checks, generators, joins, lint, markup, records, rewrites, windows
 from quire.plans.catalog import Fixture, query, table
 from quire.streaming import state
 
@@ -523,3 +523,17 @@ def c33(spark, sf_dir):
     sides = [f"CASE k % 5 {' '.join(f'WHEN {r} THEN {pair[side]}' for r, pair in _PAIR.items())} END" for side in (0, 1)]
     pairs = keys(spark, sf_dir).selectExpr("k AS doc", f"{sides[0]} AS source", f"{sides[1]} AS target")
     return markup.pair_fidelity(pairs).withColumnRenamed("check", "check_name")
+
+
+def _snapped(first: str) -> str:
+    """The last page of a tile of 100 pages of 1 to ``total``, moved to before one of two marks."""
+    last = f"least({first} + 99, total)"
+    near = " ".join(f"WHEN {last} < total AND abs({m - 1} - {last}) <= 10 AND {m} - {first} BETWEEN 20 AND 100 THEN {m - 1}" for m in (96, 150))
+    return f"CASE {near} ELSE {last} END"
+
+
+@query("w09_snapped_tiles", f"""WITH RECURSIVE r AS (SELECT k, total, {big(1)} AS first, {_snapped("1")} AS last FROM (SELECT k, k % 300 + 1 AS total FROM {_K})
+UNION ALL SELECT k, total, f, {_snapped("f")} FROM (SELECT k, total, greatest(last - 1, first + 1) AS f FROM r WHERE last < total)) SELECT k AS doc, first, last FROM r""")
+def w09_snapped(spark, sf_dir):
+    docs = keys(spark, sf_dir).selectExpr("k AS doc", "k % 300 + 1 AS total", "array(96L, 150L) AS marks")
+    return windows.snapped(docs, most=100, overlap=2)

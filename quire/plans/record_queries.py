@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators import records, rewrites, windows
+from quire.operators import aggregates, records, rewrites
 from quire.plans.catalog import Fixture, query, table
 from quire.streaming import events, state
 
@@ -60,14 +60,7 @@ def a05_spans(spark, sf_dir):
 @query("a13_flagged_view", "SELECT doc_id, n_chars FROM documents WHERE n_chars < 200 AND doc_id % 3 <> 0")
 def a13(spark, sf_dir):
     by = F.when(F.col("doc_id") % 3 == 0, "manual").otherwise("auto")
-    flagged = (F.col("n_chars") < 200) & ~by.isin("manual", "agent")
-    return table(spark, sf_dir, "documents").filter(flagged).select("doc_id", "n_chars").orderBy("doc_id")
-
-
-@query("w09_snapped_tiles", "SELECT * FROM (VALUES (1, 95), (94, 193), (192, 200)) v(first, last)")
-def w09_snapped(spark, sf_dir):
-    tiles = windows.snapped_tiles(200, 100, 2, [96])
-    return spark.createDataFrame(tiles, "first int, last int")
+    return aggregates.flagged(table(spark, sf_dir, "documents"), F.col("n_chars") < 200, by, "doc_id").select("doc_id", "n_chars")
 
 
 @query("p19_lenient_json", "SELECT event_id, props IS NOT NULL AND json_valid(props) AS good FROM events")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.operators import checks, joins, windows
+from quire.operators import aggregates, checks, joins, windows
 from quire.plans.catalog import Fixture, query, table
 from quire.plans.text_queries import documents
+from quire.streaming import events
 
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def j02(spark, sf_dir):
 
 @query("j03_untranslated", "SELECT doc_id AS doc FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def j03(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc").join(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("doc")), "doc", "left_anti")
+    return aggregates.missing(documents(spark, sf_dir).select("doc"), table(spark, sf_dir, "labels").select(F.col("doc_id").alias("doc")), "doc")
 
 
 @query("j05_multiset_difference", f"WITH p AS {_PAIRS}, a AS (SELECT doc, word, count(*) AS a FROM (SELECT doc, unnest(regexp_extract_all(source, '[a-z]+')) AS word FROM p) GROUP BY ALL), b AS (SELECT doc, word, count(*) AS b FROM (SELECT doc, unnest(regexp_extract_all(target, '[a-z]+')) AS word FROM p) GROUP BY ALL) SELECT doc, word, greatest(coalesce(a, 0) - coalesce(b, 0), 0) AS lost, greatest(coalesce(b, 0) - coalesce(a, 0), 0) AS gained FROM a FULL JOIN b USING (doc, word) WHERE coalesce(a, 0) <> coalesce(b, 0)")
@@ -156,7 +157,7 @@ def c10(spark, sf_dir):
 
 @query("c37_split_confidence", "SELECT source, count(*) >= 2 AND max(n_chars) * 10 <= sum(n_chars) * 6 AS confident FROM documents GROUP BY source")
 def c37(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source").agg(((F.count(F.lit(1)) >= 2) & (F.max("n_chars") * 10 <= F.sum("n_chars") * 6)).alias("confident"))
+    return aggregates.confident(table(spark, sf_dir, "documents"), "source", "n_chars")
 
 
 WAIVERS = Fixture("pos int, check string, excerpt string, reason string", [(1, "short", "The", "known"), (2, "*", "***", "junk is expected"), (3, "short", "Nowhere at all", "stale"), (4, "long", "", ""), (5, "long", "Th", "accepted")])
@@ -199,10 +200,7 @@ def s14(spark, sf_dir):
 
 @query("p26_relative_width", "WITH m AS (SELECT median(p_size) AS med FROM part) SELECT p_partkey, CAST(floor(greatest(0.2, least(0.9, p_size / med)) * 100 + 0.000001) AS BIGINT) AS percent FROM part, m")
 def p26(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    middle = part.agg(F.median("p_size").alias("med"))  # one row
-    width = F.greatest(F.lit(0.2), F.least(F.lit(0.9), F.col("p_size") / F.col("med")))
-    return part.join(F.broadcast(middle)).select("p_partkey", F.floor(width * 100 + 0.000001).cast("long").alias("percent"))
+    return aggregates.relative_width(table(spark, sf_dir, "part"), "p_size").select("p_partkey", "percent")
 
 
 _STATE = "(SELECT user_id, event_id, CASE event_type WHEN 'signup' THEN 'pending' WHEN 'purchase' THEN 'translated' WHEN 'error' THEN 'failed' ELSE 'gap' END AS status FROM events)"
@@ -242,25 +240,24 @@ def t08(spark, sf_dir):
 
 @query("x01_tumbling_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL")
 def x01(spark, sf_dir):
-    hour = F.window("ts", "1 hour").getField("start")
-    return table(spark, sf_dir, "events").groupBy(hour.alias("hour"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return events.window_counts(table(spark, sf_dir, "events"), "1 hour").withColumnRenamed("start", "hour")
 
 
 @query("set_difference", "SELECT doc_id FROM documents WHERE n_chars > 500 EXCEPT SELECT doc_id FROM labels")
 def set_difference(spark, sf_dir):
-    return table(spark, sf_dir, "documents").filter("n_chars > 500").select("doc_id").exceptAll(table(spark, sf_dir, "labels").select("doc_id")).distinct()
+    return aggregates.difference(table(spark, sf_dir, "documents").filter("n_chars > 500").select("doc_id"), table(spark, sf_dir, "labels").select("doc_id"))
 
 
 @query("set_multiset_difference", "SELECT l_partkey FROM lineitem EXCEPT ALL SELECT p_partkey FROM part")
 def set_multiset(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select("l_partkey").exceptAll(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey")))
+    return aggregates.multiset_difference(table(spark, sf_dir, "lineitem").select("l_partkey"), table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey")))
 
 
 @query("set_union_ranked", "SELECT doc_id AS id, 0 AS rank FROM documents UNION ALL SELECT item_id, 1 FROM benchmark")
 def set_union(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.lit(0).alias("rank")).unionByName(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.lit(1).alias("rank")))
+    return aggregates.ranked_union(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")), table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id")))
 
 
 @query("set_intersection", "SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels")
 def set_intersection(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id").intersect(table(spark, sf_dir, "labels").select("doc_id"))
+    return aggregates.intersection(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels").select("doc_id"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import checks, generators, windows
+from quire.operators import aggregates, checks, generators, windows
 from quire.plans.catalog import Fixture, query, table
 
 
@@ -223,15 +223,15 @@ def w13(spark, sf_dir):
 
 @query("a02_count_first_seen", "SELECT lang, count(*) AS n, min(doc_id) AS first_doc, arg_min(n_chars, doc_id) AS first_chars FROM documents GROUP BY lang")
 def a02(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"), F.min_by("n_chars", "doc_id").alias("first_chars"))
+    return aggregates.counted(table(spark, sf_dir, "documents"), ["lang"], "doc_id", "n_chars").withColumnsRenamed({"first_doc_id": "first_doc", "first_n_chars": "first_chars"})
 
 
 @query("a04_exact_median", "SELECT lang, CAST(floor(median(n_chars) * 2) AS BIGINT) AS twice FROM documents GROUP BY lang")
 def a04(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("lang").agg(F.floor(F.median("n_chars") * 2).cast("long").alias("twice"))
+    return aggregates.exact_median(table(spark, sf_dir, "documents"), ["lang"], "n_chars").select("lang", F.floor(F.col("median") * 2).cast("long").alias("twice"))
 
 
-@query("a05_nearest_rank", "SELECT lang, l[len(l) // 10 + 1] AS low, l[least(len(l) - 1, len(l) * 9 // 10) + 1] AS high FROM (SELECT lang, list_sort(list(n_chars)) AS l FROM documents WHERE doc_id % 10 < 10 GROUP BY lang)")
+@query("a05_nearest_rank", "SELECT lang, l[len(l) // 10 + 1] AS low, l[least(len(l) - 1, len(l) * 9 // 10) + 1] AS high FROM (SELECT lang, list_sort(list(n_chars)) AS l FROM documents GROUP BY lang)")
 def a05(spark, sf_dir):
     return windows.nearest_ranks(table(spark, sf_dir, "documents").select("lang", F.col("n_chars").alias("v")), ["lang"])
 
@@ -243,29 +243,29 @@ def a06(spark, sf_dir):
 
 @query("a08_largest_share", "SELECT source, max(n) AS largest, CAST(sum(n) AS BIGINT) AS total FROM (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL) GROUP BY source")
 def a08(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n")).groupBy("source").agg(F.max("n").alias("largest"), F.sum("n").alias("total"))
+    return aggregates.largest_share(table(spark, sf_dir, "documents"), ["source"], "lang")
 
 
 @query("a09_any_all", "SELECT source, bool_or(n_chars > 10000) AS any_long, bool_and(n_chars > 10) AS all_some FROM documents GROUP BY source")
 def a09(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source").agg(F.bool_or(F.col("n_chars") > 10000).alias("any_long"), F.bool_and(F.col("n_chars") > 10).alias("all_some"))
+    return aggregates.tested(table(spark, sf_dir, "documents"), ["source"], {"any_long": F.col("n_chars") > 10000}, {"all_some": F.col("n_chars") > 10})
 
 
 @query("a10_ordered_concat", "SELECT conv_id, sha256(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS digest, count(*) AS turns FROM conversations GROUP BY conv_id")
 def a10(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").withColumn("said", F.concat("role", F.lit(": "), "text"))
-    return turns.groupBy("conv_id").agg(F.sha2(F.expr("listagg(said, '\n') within group (order by turn)"), 256).alias("digest"), F.count(F.lit(1)).alias("turns"))
+    turns = aggregates.concatenated(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", F.concat("role", F.lit(": "), "text"))
+    return turns.select("conv_id", F.sha2("text", 256).alias("digest"), F.col("n").alias("turns"))
 
 
 @query("a11_best_per_group", "SELECT source, max_by(doc_id, n_chars * 1000000 - doc_id) AS longest FROM documents GROUP BY source")
 def a11(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source").agg(F.max_by("doc_id", F.struct("n_chars", -F.col("doc_id"))).alias("longest"))
+    return aggregates.best(table(spark, sf_dir, "documents"), ["source"], "doc_id", F.col("n_chars"), -F.col("doc_id")).withColumnRenamed("doc_id", "longest")
 
 
 @query("a12_conditional_counts", "SELECT user_id, count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'error') AS errors, count(*) FILTER (event_type NOT IN ('view', 'error')) AS rest FROM events GROUP BY user_id")
 def a12(spark, sf_dir):
     kind = F.col("event_type")
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.count_if(kind == "view").alias("views"), F.count_if(kind == "error").alias("errors"), F.count_if(~kind.isin("view", "error")).alias("rest"))
+    return aggregates.counted_if(table(spark, sf_dir, "events"), ["user_id"], {"views": kind == "view", "errors": kind == "error", "rest": ~kind.isin("view", "error")})
 
 
 @query("p18_document_sample", "SELECT doc_id AS doc, CAST(CASE WHEN length(text) <= 21000 THEN length(text) ELSE 6000 END AS BIGINT) AS head, sha256(CASE WHEN length(text) <= 21000 THEN text ELSE left(text, 6000) END) AS digest FROM documents")

@@ -6,7 +6,7 @@ import zipfile
 
 import pytest
 from quire.functions import mathtext as M
-from quire.operators import checks, joins, markup, records, windows
+from quire.operators import checks, joins, lint, markup, records, windows
 from quire.plans import pipelines
 from quire.sources import readers, writers
 from quire.streaming import events, state
@@ -121,7 +121,7 @@ def test_sinks(spark, tmp_path):
 def test_lint_and_prepare(spark):
     source = spark.createDataFrame([("001", "$$a-b$$"), ("002", "x")], "doc string, text string")
     target = spark.createDataFrame([("001", "$$a+b$$ \\begin{foo}")], "doc string, text string")
-    waivers = spark.createDataFrame([(1, "environments", "", "a known macro")], "pos int, check string, excerpt string, reason string")
+    waivers = spark.createDataFrame([(1, "*", "foo", "a known macro"), (2, "environment-balance", "foo", "known too")], "pos int, check string, excerpt string, reason string")
     found = {r["check"] for r in pipelines.lint(source, target, waivers).collect()}
     assert found == {"missing-translation", "changed-block"}
     books = spark.createDataFrame([("b", "# Chapter 1\n\n# Motion\n\n![f](a.png)\ntext")], "doc string, text string")
@@ -139,3 +139,29 @@ def test_spec_status(spark):
 def test_cap(spark):
     rows = [("d", "c", "review", f"m{k}", k, "") for k in range(30)]
     assert checks.capped(spark.createDataFrame(rows, checks.FINDING)).count() == checks.MAX_EXAMPLES
+
+
+def test_surface_is_in_order(spark):
+    """All checks of both sides run, and those without their dimension are left out."""
+    docs = spark.createDataFrame([("d", "\\chapter{1 A}\n$x\\textcircled{1}$ \\foo \\multirow\n\\includegraphics{a.png}\n日\u200b"), ("e", ""), ("f", None)], "doc string, text string")
+    names = lambda *xs: spark.createDataFrame([(x,) for x in xs], "word string")
+    known = lint.Dimensions(
+        names("chapter", "textcircled", "includegraphics", "multirow"), names("frac").toDF("command"), spark.createDataFrame([("multirow", "multirow")], "command string, provider string"), names("images/b.png").toDF("file"),
+    )
+    found = {(r["rank"], r["check"]) for r in lint.surface(docs, lint.LATEX, known).collect()}
+    assert found == {(2, "unicode-character"), (2, "zero-width-character"), (7, "duplicated-number"), (12, "unknown-command"), (13, "text-command-in-math"), (14, "missing-package"), (16, "image-path")}
+    assert {r["check"] for r in lint.surface(docs, lint.LATEX).collect()} == {c for k, c in found if k not in (12, 14, 16)}
+    source = spark.createDataFrame([("s", "$$$$ \\$5 ![f](x.png)\n$ y$\n<table><tr><td colspan=2>a</td></tr></table>")], "doc string, text string")
+    assert {r["rank"] for r in lint.surface(source, lint.MARKDOWN, known).collect()} >= {0, 3, 4, 11, 12}
+
+
+def test_overwrite_is_all_or_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.overwrite(spark.range(5), path)
+    with pytest.raises(Exception, match="boom"):
+        writers.overwrite(spark.range(3).selectExpr("raise_error('boom') AS id"), path)
+    assert spark.read.parquet(path).count() == 5 and not (tmp_path / "t.old").exists()
+    writers.overwrite(spark.read.parquet(path).filter("id > 2"), path)
+    assert spark.read.parquet(path).count() == 2
+    sheet = writers.review_sheet(spark.createDataFrame([(1, "a<b", True, ["gap"]), (2, "c", False, [])], "position int, name string, keep boolean, flags array<string>"), "Book & co").first()["html"]
+    assert sheet.startswith("<!doctype html>") and sheet.index("<td>2</td>") < sheet.index("a&lt;b") and "Book &amp; co" in sheet
