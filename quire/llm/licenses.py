@@ -183,7 +183,7 @@ FULL_RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     *[(key.removeprefix("SPDX-"), (key,)) for key, _ in FULL_SENTENCES if key.startswith("SPDX-")],
 )
 #: Names that licensors put in: pattern on the normalised text, and what stands for it above.
-NAMES: tuple[tuple[str, str], ...] = (
+NAMES: tuple[Sentence, ...] = (
     ("neither the name of (?:[a-z0-9LS]+ ){1,16}?nor (?:L )*the (?:L )*names (?:L )*of (?:L )*(?:its|their|the|any) (?:L )*contributors ", "neither the name of the copyright holder nor the names of its contributors "),
     ("(?<=[SL] )(?:[a-z0-9]+ ){1,8}?is (?:L )*free (?:L )*software (?:L )*you (?:L )*can ", "this program is free software you can "),
     ("(?<=[SL] )(?:[a-z0-9]+ ){1,8}?is (?:L )*distributed (?:L )*in (?:L )*the (?:L )*hope ", "this program is distributed in the hope "),
