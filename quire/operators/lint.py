@@ -83,7 +83,7 @@ def diagnostics(docs: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, (displays, padded, levels), runs)
 
 
-# -- checks in the form of findings ---------------------------------------------------------------
+# Checks in the form of findings.
 
 
 def _each(rows: DataFrame, check: str, message: Column, line: Column | None = None, context: Column | None = None, severity: str = "review") -> DataFrame:
@@ -169,7 +169,7 @@ def _chapters(docs: DataFrame, _: Dimensions) -> DataFrame:
 def _images(docs: DataFrame, known: Dimensions) -> DataFrame | None:
     if known.files is None:
         return None
-    called = docs.select("doc", F.explode(F.regexp_extract_all("text", F.lit(r"\\includegraphics(?:\[[^\]]*\])?\{([^}]+)\}"), 1)).alias("path"))
+    called = markup.braced_arguments(docs, ["includegraphics"]).select("doc", F.col("argument").alias("path"))
     return _each(checks.missing_files(called, known.files), "image-path", F.col("path"))
 
 

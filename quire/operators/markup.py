@@ -79,7 +79,7 @@ def text_in_math(docs: DataFrame, commands: frozenset[str] = TEXT_ONLY) -> DataF
             kept, done = [], 0
             for start, end, _ in M.calls(s.body, TEXT_GROUPS):
                 kept, done = [*kept, s.body[done:start]], end
-            for name in re.findall(r"\\([A-Za-z]+)", " ".join([*kept, s.body[done:]])):
+            for name in re.findall(r"(?<=\\)[A-Za-z]+", " ".join([*kept, s.body[done:]])):
                 if name in commands:
                     yield name, text.count("\n", 0, s.start) + 1, s.body
 
@@ -90,11 +90,11 @@ def chapter_tags(docs: DataFrame) -> DataFrame:
     """(doc, pos, starred, tags): chapters in order, starred or not, with the chapter numbers that the tags in them begin with."""
 
     def rows(text: str | None) -> Iterator[tuple]:
-        found = list(re.finditer(r"\\chapter(\*?)\s*(?:\[[^]]*])?\{", text or ""))
-        for k, (m, after) in enumerate(zip(found, [*found[1:], None], strict=False), 1):
-            body = text[m.end() : after.start() if after else len(text)]
-            tags = [int(n[1]) for _, _, tag in M.calls(body, "tag") if (n := re.match(r"([0-9]+)[.-]", M.plain_tag(tag)))]
-            yield k, bool(m[1]), tags
+        found = list(M.calls(text or "", "chapter"))
+        ends = [start for start, _, _ in found[1:]] + [None]
+        for k, ((start, after, _), end) in enumerate(zip(found, ends, strict=False), 1):
+            heads = [M.plain_tag(tag).replace("-", ".").split(".")[0] for _, _, tag in M.calls(text[after:end], "tag")]
+            yield k, text.startswith("\\chapter*", start), [int(h) for h in heads if h.isdecimal()]
 
     return mapped(docs, ["text"], "pos long, starred boolean, tags array<long>", rows)
 
