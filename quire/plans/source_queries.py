@@ -85,3 +85,22 @@ def s14_rendered(spark, sf_dir):
 def p28(spark, sf_dir):
     parts = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("entry"), (F.col("n_nationkey") % 10).alias("page_idx"), (F.col("n_regionkey") * 10 + 1).alias("first_page"))
     return readers.shifted_entries(parts).select("entry", "page_idx")
+
+
+def _archives(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation")
+    files = nation.select(F.concat(F.lit("r"), F.col("n_regionkey")).alias("path"), F.concat(F.lower("n_name"), F.lit(".txt")).alias("member"), F.col("n_name").cast("binary").alias("content"))
+    full = nation.filter("n_nationkey % 2 = 0").groupBy("n_regionkey").agg(F.min("n_name").alias("first")).select(F.concat(F.lit("r"), F.col("n_regionkey")).alias("path"), F.lit("a/full.md").alias("member"), F.col("first").cast("binary").alias("content"))
+    other = nation.groupBy("n_regionkey").agg(F.max("n_name").alias("last")).select(F.concat(F.lit("r"), F.col("n_regionkey")).alias("path"), F.lit("a/an.md").alias("member"), F.col("last").cast("binary").alias("content"))
+    return writers.archived(files.unionByName(full).unionByName(other))
+
+
+@query("s07_archive_texts", "SELECT concat('r', n_regionkey) AS path, coalesce(min(n_name) FILTER (n_nationkey % 2 = 0), max(n_name)) AS text FROM nation GROUP BY n_regionkey")
+def s07(spark, sf_dir):
+    return readers.archive_texts(readers.unpacked(_archives(spark, sf_dir)))
+
+
+@query("s11_archive_members", """SELECT concat('r', n_regionkey) AS path, concat(lower(n_name), '.txt') AS member, n_name AS text FROM nation
+UNION ALL SELECT concat('r', n_regionkey), 'a/full.md', min(n_name) FROM nation WHERE n_nationkey % 2 = 0 GROUP BY n_regionkey UNION ALL SELECT concat('r', n_regionkey), 'a/an.md', max(n_name) FROM nation GROUP BY n_regionkey""")
+def s11(spark, sf_dir):
+    return readers.unpacked(_archives(spark, sf_dir)).select("path", "member", F.col("content").cast("string").alias("text"))

@@ -57,7 +57,12 @@ def images(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive_members(spark: SparkSession, path: str) -> DataFrame:
-    """(path, member, content) of zip archives, image folders flattened; one archive is one task's row."""
+    """(path, member, content) of the zip archives in a folder."""
+    return unpacked(spark.read.format("binaryFile").load(path))
+
+
+def unpacked(archives: DataFrame) -> DataFrame:
+    """(path, member, content) of zip archives (path, content); one archive is one task's row."""
 
     def unpack(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in source:
@@ -67,7 +72,7 @@ def archive_members(spark: SparkSession, path: str) -> DataFrame:
                         if not member.is_dir():
                             yield pd.DataFrame({"path": [r.path], "member": [member.filename], "content": [archive.read(member)]})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(unpack, "path string, member string, content binary")
+    return archives.select("path", "content").mapInPandas(unpack, "path string, member string, content binary")
 
 
 def archive_texts(members: DataFrame) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from html import escape
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +61,19 @@ def write_kit(chunks: DataFrame, path: str) -> None:
     chunks.write.mode("overwrite").partitionBy("book").parquet(path)
 
 
+def archived(files: DataFrame) -> DataFrame:
+    """(path, content): one zip archive for each path of files (path, member, content), members by name; a book's files are one group."""
+
+    def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        whole = io.BytesIO()
+        with zipfile.ZipFile(whole, "w", zipfile.ZIP_DEFLATED) as archive:
+            for member, content in group.sort_values("member")[["member", "content"]].itertuples(index=False):
+                archive.writestr(zipfile.ZipInfo(member), content)  # without the hour, so that equal files give equal archives
+        return pd.DataFrame({"path": [key[0]], "content": [whole.getvalue()]})
+
+    return files.select("path", "member", "content").groupBy("path").applyInPandas(pack, "path string, content binary")
+
+
 def publishable(builds: DataFrame, outputs: DataFrame) -> DataFrame:
     """Outputs (book, path, made, source_changed) of books whose last build (book, seq, succeeded) went well, and that are no older than their source."""
     last = builds.groupBy("book").agg(F.max_by("succeeded", "seq").alias("good")).filter("good")
@@ -74,11 +90,11 @@ def publish(builds: DataFrame, outputs: DataFrame, path: str) -> bool:
 
 
 def package(references: DataFrame, files: DataFrame, kit: DataFrame, path: str) -> None:
-    """Write a kit unless a referenced image is missing."""
+    """Write a kit (path, member, content) as archives unless a referenced image is missing."""
     missing = checks.missing_files(references, files)
     if not missing.isEmpty():
         raise ValueError(f"missing images: {[r['path'] for r in missing.orderBy('path').limit(5).collect()]}")
-    overwrite(kit, path)
+    overwrite(archived(kit), path)
 
 
 def review_rows(figures: DataFrame) -> DataFrame:
