@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -110,18 +111,27 @@ def text_statistics(docs: DataFrame, *keep: F.Column) -> DataFrame:
     return source.mapInArrow(batches(make), StructType([*source.schema.fields[1:], *made.fields]))
 
 
-def _hot(rows: DataFrame) -> DataFrame:
-    """The groups with more than one in ``HOT`` of the rows, fewer than ``HOT``."""
-    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return durable(sizes.filter(F.col("n") * HOT > total).select("grp"))
+class Hot(NamedTuple):
+    """The groups with more than one in ``HOT`` of the rows, fewer than ``HOT``, and whether there are others."""
 
+    groups: DataFrame
+    others: bool
 
-def _with_models(rows: DataFrame, models: DataFrame, hot: DataFrame) -> DataFrame:
+
+def hot_groups(rows: DataFrame) -> Hot:
+    sizes = durable(rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")))
+    total, every = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    groups = sizes.filter(F.col("n") * HOT > total).select("grp")
+    return Hot(groups, groups.count() < every)
+
+
+def _with_models(rows: DataFrame, models: DataFrame, hot: Hot) -> DataFrame:
     """``rows`` with each model of their group; no row of a hot group is shuffled."""
-    marked = rows.join(F.broadcast(hot.select("grp", F.lit(True).alias("hot"))), "grp", "left")
-    held = models.join(F.broadcast(hot), "grp", "left_semi")
-    rest = models.join(F.broadcast(hot), "grp", "left_anti")
+    if not hot.others:
+        return rows.join(F.broadcast(models), "grp")
+    marked = rows.join(F.broadcast(hot.groups.withColumn("hot", F.lit(True))), "grp", "left")
+    held = models.join(F.broadcast(hot.groups), "grp", "left_semi")
+    rest = models.join(F.broadcast(hot.groups), "grp", "left_anti")
     near = marked.filter("hot").drop("hot").join(F.broadcast(held), "grp")
     return near.unionByName(marked.filter("hot is null").drop("hot").join(rest, "grp"))
 
@@ -201,7 +211,7 @@ def _concentrate(bins: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
     return centre, scatter, int(total)
 
 
-def estimates(rows: DataFrame, hot: DataFrame) -> DataFrame:
+def estimates(rows: DataFrame, hot: Hot) -> DataFrame:
     """(grp, model) of rows (grp, x): the winning estimate of each group; ``hot`` are the groups to broadcast."""
     quantiles = F.percentile_approx(F.col("v"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias("q")
     spread = rows.select("grp", F.posexplode("x").alias("i", "v")).groupBy("grp", "i").agg(quantiles, F.count(F.lit(1)).alias("n"))
@@ -245,7 +255,7 @@ def estimates(rows: DataFrame, hot: DataFrame) -> DataFrame:
     return models.groupBy("grp").agg(best.alias("model"))
 
 
-def judge(rows: DataFrame, models: DataFrame, hot: DataFrame) -> DataFrame:
+def judge(rows: DataFrame, models: DataFrame, hot: Hot) -> DataFrame:
     """Rows of ``text_statistics`` with ``distance`` and ``kept``, under the ``fitted`` models.
 
     Rows that fail the base rules are not kept, and have no distance.
@@ -256,10 +266,10 @@ def judge(rows: DataFrame, models: DataFrame, hot: DataFrame) -> DataFrame:
     return judged.unionByName(failed)
 
 
-def fitted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def fitted(rows: DataFrame) -> tuple[DataFrame, Hot]:
     """The models of the groups, and the hot groups; estimates rest on the rows that pass the base rules."""
     sound = rows.filter("not base_failed").select("grp", "x")
-    hot = _hot(sound)
+    hot = hot_groups(sound)
     return durable(estimates(sound, hot)), hot
 
 

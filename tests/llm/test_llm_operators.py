@@ -104,13 +104,13 @@ def test_estimate_is_the_determinant_minimum(spark):
     clean = r.normal(0, 1, (400, quality.DIMENSIONS))
     rows = [("g", x.tolist()) for x in np.concatenate([clean, np.full((80, quality.DIMENSIONS), 25.0)])]
     frame = spark.createDataFrame(rows, "grp string, x array<double>")
-    model = quality.estimates(frame, quality._hot(frame)).first()["model"]
+    model = quality.estimates(frame, quality.hot_groups(frame)).first()["model"]
     assert np.abs(np.asarray(model["centre"])).max() < 0.3
     scatter = np.linalg.inv(np.asarray(model["precision"]).reshape(quality.DIMENSIONS, -1)) * model["scale"]
     assert np.abs(scatter - np.eye(quality.DIMENSIONS)).max() < 0.5
 
 
-@pytest.mark.parametrize("hot", [quality.HOT, 1])
+@pytest.mark.parametrize("hot", [quality.HOT, 4, 1])
 def test_small_groups_against_all_subsets(spark, monkeypatch, hot):
     """Groups of up to 16 rows: the estimate is that of the subset of least determinant, sought among all; hot or not."""
     monkeypatch.setattr(quality, "BINS", 1 << 20)  # bins of single rows
@@ -124,7 +124,7 @@ def test_small_groups_against_all_subsets(spark, monkeypatch, hot):
         least = min(scatters, key=lambda c: np.linalg.slogdet(quality.regular(scatters[c], h))[1])
         expected[f"g{g}"] = x[list(least)].mean(0), quality.regular(scatters[least], h)
     frame = spark.createDataFrame(rows, "grp string, x array<double>")
-    found = {m["grp"]: m["model"] for m in quality.estimates(frame, quality._hot(frame)).collect()}
+    found = {m["grp"]: m["model"] for m in quality.estimates(frame, quality.hot_groups(frame)).collect()}
     assert found.keys() == expected.keys()
     for g, (centre, scatter) in expected.items():
         assert np.allclose(found[g]["centre"], centre) and np.allclose(np.linalg.inv(np.reshape(found[g]["precision"], scatter.shape)), scatter)
