@@ -64,8 +64,9 @@ def close_pairs(distinct: DataFrame) -> DataFrame:
     block = [F.shiftrightunsigned("fp", 16 * k).bitwiseAND(0xFFFF) for k in range(4)]
     places = [F.lit(k).cast("long") * (1 << 32) + F.shiftleft(block[i], 16) + block[j] for k, (i, j) in enumerate(combinations(range(4), 2))]
     met = distinct.select("fp", F.explode(F.array(*places)).alias("place"))
-    full = met.groupBy("place").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = durable(met.join(full, "place").select("place", "fp", (F.col("n") > GROUP).alias("full")))
+    sizes = durable(met.groupBy("place").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    shared = dealt_join(met, sizes, "place", hot_keys(sizes, "place", len(places) * distinct.count()))
+    met = durable(shared.select("place", "fp", (F.col("n") > GROUP).alias("full")))
     group = F.array_sort(F.collect_list("fp"))
     pairs = (
         met.filter("not full").groupBy("place").agg(group.alias("fps"))
