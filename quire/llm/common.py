@@ -91,25 +91,37 @@ def batches(
     return run
 
 
-#: A key with more than one in so many rows is hot; there are fewer hot keys than that.
-HOT = 1_024
+#: Keys with more than one in so many rows are dealt to so many tasks each.  There are fewer than 16 of
+#: the first kind and fewer than 256 in all.
+SHARES = ((16, 64), (256, 8))
 
 
-def hot_keys(sizes: DataFrame, key: str, total: int) -> DataFrame:
-    """(key, parts) of the hot keys of ``sizes`` (key, n); ``parts`` is how many shares of a ``HOT``-th of ``total`` rows a key has."""
-    return sizes.filter(F.col("n") * HOT > total).select(key, F.ceil(F.col("n") * HOT / F.lit(total)).cast("int").alias("parts"))
+def hot_keys(sizes: DataFrame, key: str, total: int) -> list[tuple[list[int], int]]:
+    """Hashes of the hot keys of ``sizes`` (key, n) of ``total`` rows, fewer than 256, with the number of tasks to deal them to."""
+    least = SHARES[-1][0]
+    found = [tuple(r) for r in sizes.filter(F.col("n") * least > total).select(F.xxhash64(key), "n").collect()]
+    kinds, above = [], set()
+    for share, parts in SHARES:
+        own = [h for h, n in found if n * share > total and h not in above]
+        above.update(own)
+        kinds.append((own, parts))
+    return [k for k in kinds if k[0]]
 
 
-def dealt_join(rows: DataFrame, unique: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """``rows`` joined with ``unique``, one row for each ``key``; rows of a hot key (key, parts) are dealt to its parts.
+def dealt_join(rows: DataFrame, unique: DataFrame, key: str, hot: list[tuple[list[int], int]]) -> DataFrame:
+    """``rows`` joined with ``unique``, one row for each ``key``; rows of a hot key are dealt to many tasks.
 
-    Only the rows of ``unique`` of hot keys are repeated, fewer than twice ``HOT`` in all, and only the
-    list of hot keys is broadcast.
+    Of ``unique`` only the rows of hot keys are repeated, fewer than 3,000 in all.  A key counts as hot
+    by its hash, on both sides alike, so one that shares a hot key's hash is only dealt, too.
     """
-    shares = F.broadcast(hot)
-    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.coalesce("parts", F.lit(1)))
-    left = rows.join(shares, key, "left").withColumn("__part", deal.cast("int")).drop("parts")
-    right = unique.join(shares, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    if not hot:
+        return rows.join(unique, key)
+    parts = F.lit(1)
+    for hashes, many in reversed(hot):
+        parts = F.when(F.xxhash64(key).isin(hashes), many).otherwise(parts)
+    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), parts)
+    left = rows.withColumn("__part", deal.cast("int"))
+    right = unique.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
     return left.join(right, [key, "__part"]).drop("__part")
 
 

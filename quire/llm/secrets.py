@@ -148,7 +148,7 @@ def scan_paths(docs: DataFrame, path: str | None = None, *, version: int = RULE_
     sizes = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("n"))
     # runs that overlap in time may both have scanned a blob
     known = ledger.filter(F.col("version") == version).groupBy("blob").agg(F.first("spans").alias("spans"))
-    return dealt_join(paths, known, "blob", durable(hot_keys(sizes, "blob", paths.count())))
+    return dealt_join(paths, known, "blob", hot_keys(sizes, "blob", paths.count()))
 
 
 def redact(docs: DataFrame) -> DataFrame:

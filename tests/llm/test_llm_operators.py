@@ -15,7 +15,7 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
-from quire.llm import decontaminate, licenses, minhash, packing, quality, secrets, simhash, substrings, tokencount, toxicity, urls
+from quire.llm import common, decontaminate, licenses, minhash, packing, quality, secrets, simhash, substrings, tokencount, toxicity, urls
 from quire.llm.common import durable
 from quire.llm.components import connected_components
 
@@ -800,3 +800,19 @@ def test_components(spark):
 
 def test_item_digest():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_dealt_join(spark):
+    """Keys of every share, a null one and one of a struct: each row meets its key once, and hot ones in many tasks."""
+    r = random.Random(2)
+    rows = [(k, r.random()) for k, n in ((1, 900), (2, 300), (3, 80), (4, 9), (None, 50)) for _ in range(n)] + [(10 + k % 700, r.random()) for k in range(1400)]
+    left = spark.createDataFrame(rows, "k long, v double")
+    right = spark.createDataFrame([(k, f"n{k}") for k in {k for k, _ in rows if k != 4}], "k long, name string")
+    sizes = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    hot = common.hot_keys(sizes, "k", len(rows))
+    assert [(len(h), parts) for h, parts in hot] == [(2, 64), (2, 8)]
+    expected = [(k, v, f"n{k}") for k, v in rows if k not in (None, 4)]
+    same(common.dealt_join(left, right, "k", hot).select("k", "v", "name").collect(), expected)
+    same(common.dealt_join(left, right, "k", []).select("k", "v", "name").collect(), expected)
+    wide = [d.select(F.struct("k").alias("k"), *d.columns[1:]) for d in (left, right)]
+    same([(x["k"]["k"], x["v"], x["name"]) for x in common.dealt_join(*wide, "k", common.hot_keys(wide[0].groupBy("k").agg(F.count(F.lit(1)).alias("n")), "k", len(rows))).collect()], [*expected, *[(None, v, "nNone") for k, v in rows if k is None]])
