@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm import minhash
+from quire.llm import similar
 from quire.llm.common import batches, dealt_join, durable, hot_keys, row_key, rows_of, utf8, words
 from quire.llm.components import connected_components
 
@@ -116,10 +116,10 @@ def keep_representatives(docs: DataFrame, *, similarity: bool = False) -> DataFr
     and keep one row, too; an empty table keeps none.
 
     Classes are those of ``near_duplicates``, or with ``similarity`` those of five-word shingles with
-    a similarity of 0.8 or more, for which ``quire.llm.minhash`` finds the pairs.
+    a similarity of 0.8 or more, for which ``quire.llm.similar`` cuts more fingerprints into blocks.
     """
     if similarity:
-        return minhash.keep_representatives(docs)
+        return similar.keep_representatives(docs)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.asarray([fingerprint(t) for t in batch.column(3).to_pylist()], dtype=np.uint64)
