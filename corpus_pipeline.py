@@ -7,33 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import decontaminate, packing, quality, secrets, simhash
-from quire.llm.common import scratch, table
+from quire.llm.common import bound_batches, scratch, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
+    bound_batches(spark)
     return quality.keep_sound(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates, similarity 0.8 or more on five-word shingles, the document of the least id stays."""
+    bound_batches(spark)
     return simhash.keep_representatives(docs, similarity=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of any benchmark item go."""
+    bound_batches(spark)
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents stay, with their secrets redacted."""
+    bound_batches(spark)
     return secrets.redact(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes."""
+    bound_batches(spark)
     return packing.pack(docs)
 
 

@@ -78,6 +78,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bytes of a batch of rows on its way to Python; a task holds such a batch a few times over.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on the session's batches for Python have ``BATCH_BYTES`` at most, or a row; a lower setting stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    found = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < found <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def batches(
     make: Callable[[pa.RecordBatch], pa.RecordBatch | None],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -87,6 +99,7 @@ def batches(
         for batch in source:
             if batch.num_rows and (out := make(batch)) is not None and out.num_rows:
                 yield out
+            pa.default_memory_pool().release_unused()
 
     return run
 
