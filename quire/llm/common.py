@@ -138,6 +138,23 @@ def dealt_join(rows: DataFrame, unique: DataFrame, key: str, hot: list[tuple[lis
     return left.join(right, [key, "__part"]).drop("__part")
 
 
+#: Bits of a sieve, 4 MB, and of one of its rows.
+SIEVE, SIEVE_ROW = 1 << 25, 1 << 15
+
+
+def sifted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose values of the columns of ``wanted`` are not in it, and without a shuffle.
+
+    The sieve has a bit for each hash of ``wanted``; the more rows that has, the more others pass, so a join has to follow.
+    """
+    hashed = F.pmod(F.xxhash64(*wanted.columns), F.lit(SIEVE))
+    at, bit = F.floor(hashed / SIEVE_ROW).alias("__at"), F.pmod(hashed, F.lit(SIEVE_ROW))
+    sieve = wanted.select(at, bit.alias("bit")).groupBy("__at").agg(F.bitmap_construct_agg("bit").alias("__sieve"))
+    met = rows.withColumn("__at", at).withColumn("__bit", bit.cast("int")).join(F.broadcast(sieve), "__at")
+    there = F.expr("shiftright(cast(conv(hex(substring(__sieve, __bit div 8 + 1, 1)), 16, 10) as int), cast(__bit % 8 as int)) % 2 = 1")
+    return met.filter(there).select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def row_key(docs: DataFrame) -> Column:
     """Key of a row: doc_id, null ids last, then the hash of the whole row."""
     mark = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
@@ -147,5 +164,7 @@ def row_key(docs: DataFrame) -> Column:
 def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """One row of ``docs`` for each key of ``kept``, with all columns."""
     packed = docs.select(row_key(docs).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    # equal rows become one within tasks first; the join then finds them where they are
-    return packed.dropDuplicates(["key"]).join(kept, "key", "left_semi").select("row.*")
+    # equal rows become one within tasks first; the join then finds them where they are, since fields, other than
+    # structs, have one type whether they may be null or not
+    parts = ["none", "id", "mark"]
+    return packed.select("key.*", "row").dropDuplicates(parts).join(kept.select("key.*"), parts, "left_semi").select("row.*")

@@ -22,8 +22,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quire.llm.common import batches, dealt_join, durable, hot_keys, row_key, rows_of, utf8, words
+from quire.llm.common import batches, dealt_join, durable, hot_keys, row_key, rows_of, sifted, utf8, words
 from quire.llm.components import connected_components
 
 SEED = 42
@@ -82,15 +83,20 @@ def _marked(docs: DataFrame, key: Column) -> DataFrame:
 
 
 def _sets(docs: DataFrame, key: Column, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of the texts that ``nodes`` names."""
+    """``nodes`` (node and any others), each once, with the shingles of their texts."""
+    others = [c for c in nodes.columns if c != "node"]
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = pa.array([shingles(t).view(np.int64) for t in batch.column(3).to_pylist()], pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([*batch.columns[:3], found], ["none", "id", "mark", "shingles"])
+        return pa.RecordBatch.from_arrays([*batch.columns[:3], *batch.columns[4:], found], ["none", "id", "mark", *others, "shingles"])
 
-    rows = docs.select(key.alias("node"), utf8("text").alias("text")).join(nodes, "node", "left_semi").select("node.*", "text")
-    made = rows.mapInArrow(batches(make), f"{_KEY}, shingles array<long>")
-    return made.select(F.struct("none", "id", "mark").alias("node"), "shingles").dropDuplicates(["node"])
+    parts = ["none", "id", "mark"]
+    wanted = nodes.select("node.*", *others)
+    rows = docs.select(key.alias("key"), utf8("text").alias("text")).select("key.*", "text")
+    # equal rows become one within tasks first; the join then finds them where they are
+    rows = sifted(rows, wanted.select(parts)).dropDuplicates(parts).join(wanted, parts).select(*parts, "text", *others)
+    schema = T.StructType([*rows.schema.fields[:3], *rows.schema.fields[4:], T.StructField("shingles", T.ArrayType(T.LongType()))])
+    return rows.mapInArrow(batches(make), schema).select(F.struct(*parts).alias("node"), *others, "shingles")
 
 
 def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -9,11 +9,14 @@ whose bits differ with chance 0.1515, misses all 160 with chance (1 - 0.8485^16)
 ones with less.  Texts of four or five shingles, whose bits vary more, miss them with chance 0.3 %.
 
 What meets in a block is compared by its first two fingerprints; pairs within ``CLOSE`` bits of these 128
-are verified on the whole sets of shingles.  At a place where more than ``GROUP`` texts hang together by
-such pairs, no list of pairs is made.  Crowds with a text in common become one.  One of up to ``BLOCK`` texts
-is compared inside a task, which reports only links that connect what is not connected yet; in a larger one
-each is verified against the most central one, those linked to it are compared in blocks inside tasks with
-those that are not, and so on with the latter.  So no link between texts not connected yet is left out.
+are listed, and those within ``CLOSE_ALL`` bits of all fingerprints stay.  At a place where more than ``GROUP``
+texts hang together by close pairs, a crowd, no list of pairs is made.  Texts that listed pairs and crowds
+connect are sent to one place, each once, and where they are ``BLOCK`` at most they are compared there, on the
+whole sets of shingles, inside a task, which reports only links that connect what is not connected yet.  Where
+they are more, the listed pairs are verified one by one, and crowds with a text in common become one.  One of up
+to ``BLOCK`` texts is compared inside a task; in a larger one each is verified against the most central one, those
+linked to it are compared in blocks inside tasks with those that are not, and so on with the latter.  So no link
+between texts not connected yet is left out.
 """
 
 from __future__ import annotations
@@ -27,14 +30,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import minhash
-from quire.llm.common import batches, dealt_join, durable, hot_keys, row_key, rows_of, utf8, words
+from quire.llm.common import batches, dealt_join, durable, hot_keys, row_key, rows_of, sifted, utf8, words
 from quire.llm.components import connected_components
 
 FINGERPRINTS = 40
 #: Bits of the first two fingerprints in which a pair that is verified may differ; a pair of similarity 0.8 differs in
 #: 19.4 of the 128 on average and in more than 42 with chance 1e-7, unrelated texts in 64.
 CLOSE = 42
-#: The same for all fingerprints: 388 of 2,560 on average, and more than 600 with a chance far below.
+#: The same for all fingerprints: 388 of 2,560 on average, and 480 for texts of four and five shingles, the most of any pair
+#: of that similarity; that is six standard deviations below 600, so a pair is lost here with chance 1e-9.
 CLOSE_ALL = 600
 #: Texts at one meeting place that are compared pair by pair.
 GROUP = 16
@@ -173,17 +177,16 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return durable(dealt.applyInArrow(lambda table: _met(table, group), "place long, a long, b long, n long"))
 
 
-def _named(numbered: DataFrame, names: DataFrame, column: str) -> DataFrame:
-    return numbered.join(names.select(F.col("number").alias(column), F.col("node").alias(f"{column}_node")), column)
+def _named(numbered: DataFrame, known: DataFrame, column: str) -> DataFrame:
+    return numbered.join(known.select(F.col("number").alias(column), *[F.col(c).alias(f"{column}_{c}") for c in ("node", "prints")]), column)
 
 
-def _links_in_blocks(sides: DataFrame, prints: DataFrame, sets: DataFrame) -> DataFrame:
-    """Verified links between the nodes of ``sides`` (place, node, side), as many as it takes to connect them.
+def _links_in_blocks(sized: DataFrame) -> DataFrame:
+    """Verified links between the nodes of ``sized`` (place, node, side, prints, shingles), written, as many as it takes to connect them.
 
     At a place with both sides, those on side 0 are connected already and are compared with side 1 only; at a place
     of side 1 alone all are compared with each other.
     """
-    sized = durable(sides.join(prints, "node").join(sets, "node"))
     n = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.size("shingles")) / BLOCK_SHINGLES)).cast("int")
     parts = sized.groupBy("place", "side").agg(n.alias("blocks"), F.count(F.lit(1)).alias("n"))
     known = [F.max(F.when(F.col("side") == s, F.col("blocks"))).alias(f"blocks{s}") for s in (0, 1)]
@@ -227,11 +230,18 @@ def _links_in_blocks(sides: DataFrame, prints: DataFrame, sets: DataFrame) -> Da
     return durable(found.select(*[F.struct(*[F.col(f"{x}_{c}").alias(c) for c in _NODE]).alias(x) for x in "ab"]))
 
 
-def crowd_links(crowds: DataFrame, prints: DataFrame, sets: DataFrame) -> list[DataFrame]:
-    """Verified links within each of ``crowds`` (place, node, order), each node being in one, as many as connect what all of them would."""
+def crowd_links(crowds: DataFrame, sets: DataFrame) -> list[DataFrame]:
+    """Verified links within each of ``crowds`` (place, node, order), each node being in one, as many as connect what all of them would.
+
+    ``sets`` has prints and shingles of each node.
+    """
+
+    def sized(sides: DataFrame) -> DataFrame:
+        return durable(sides.join(sets.select("node", "prints", "shingles"), "node"))
+
     sizes = durable(crowds.groupBy("place").agg(F.count(F.lit(1)).alias("n")))
     small = crowds.join(sizes.filter(F.col("n") <= BLOCK), "place", "left_semi")
-    found = [_links_in_blocks(small.select("place", "node", F.lit(1).alias("side")), prints, sets)]
+    found = [_links_in_blocks(sized(small.select("place", "node", F.lit(1).alias("side"))))]
     rest = durable(dealt_join(crowds, sizes.filter(F.col("n") > BLOCK).select("place"), "place", hot_keys(sizes, "place", crowds.count())))
     left = rest.count()
     while left:
@@ -246,10 +256,10 @@ def crowd_links(crowds: DataFrame, prints: DataFrame, sets: DataFrame) -> list[D
             break
         apart = rest.select("place", "node", F.lit(1).alias("side"))
         linked = stars.join(near, ["a", "b"], "left_semi").select("place", F.col("b").alias("node"), F.lit(0).alias("side"))
-        found.append(_links_in_blocks(apart.unionByName(linked), prints, sets))
+        found.append(_links_in_blocks(sized(apart.unionByName(linked))))
         if 10 * left > 9 * before:
             # at places with a side 0 only that was compared
-            found.append(_links_in_blocks(apart, prints, sets))
+            found.append(_links_in_blocks(sized(apart)))
             break
     return found
 
@@ -257,20 +267,26 @@ def crowd_links(crowds: DataFrame, prints: DataFrame, sets: DataFrame) -> list[D
 def links(docs: DataFrame, key: Column, nodes: DataFrame) -> DataFrame:
     """Verified links (a, b) of ``nodes`` (node, number, prints), the rows of ``docs`` with those keys, enough to connect what all would."""
     met = candidates(nodes.filter("size(prints) > 0").select("number", "prints"))
-    names = nodes.select("node", "number")
-    pairs = _named(_named(met.filter("place is null").select("a", "b").distinct(), names, "a"), names, "b")
-    pairs = durable(pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
+    listed, crowds = met.filter("place is null").select("a", "b").distinct(), met.filter("place is not null").select("place", "a", "n")
+    known = durable(sifted(nodes, met.select(F.explode(F.array("a", "b")).alias("number")).filter("number is not null")))
+    differ = F.zip_with("a_prints", "b_prints", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    pairs = _named(_named(listed, known, "a"), known, "b").filter(F.aggregate(differ, F.lit(0), lambda n, x: n + x) <= CLOSE_ALL)
+    pairs = durable(pairs.select("a", "b", "a_node", "b_node"))
+    stars = durable(crowds.select("place", "a").join(crowds.groupBy("place").agg(F.min("a").alias("b")), "place").select("a", "b").distinct())
+    hung = durable(connected_components(pairs.select("a", "b").unionByName(stars)).select(F.col("node").alias("number"), F.col("component").alias("place")))
+    sizes = durable(hung.groupBy("place").agg(F.count(F.lit(1)).alias("n")))
+    hung = dealt_join(hung, sizes, "place", hot_keys(sizes, "place", hung.count()))
+    sets = durable(minhash._sets(docs, key, durable(known.join(hung, "number"))))
+    out = _links_in_blocks(sets.filter(F.col("n") <= BLOCK).select("place", "node", F.lit(1).alias("side"), "prints", "shingles"))
+    if sizes.filter(F.col("n") > BLOCK).isEmpty():
+        return out
+    sets = durable(sets.filter(F.col("n") > BLOCK))
+    names = sets.select(F.col("number").alias("a"), "node")
+    out = out.unionByName(minhash._near(pairs.join(names, "a", "left_semi").select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), sets))
     # crowds with a text in common are one, so each text is in one of them
-    crowds = met.filter("place is not null")
-    heads = crowds.groupBy("place").agg(F.min("a").alias("b"))
-    whole = connected_components(crowds.select("place", "a").join(heads, "place").select("a", "b"))
+    whole = connected_components(stars.join(names, "a", "left_semi")).select(F.col("node").alias("a"), F.col("component").alias("place"))
     central = crowds.groupBy("a").agg((-F.sum("n")).alias("order"))
-    held = central.join(whole.select(F.col("node").alias("a"), F.col("component").alias("place")), "a")
-    crowds = durable(_named(held, names, "a").select("place", F.col("a_node").alias("node"), "order"))
-    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowds.select("node")).distinct()
-    sets = durable(minhash._sets(docs, key, used))
-    out = minhash._near(pairs, sets)
-    for part in crowd_links(crowds, nodes.select("node", "prints"), sets):
+    for part in crowd_links(durable(central.join(whole, "a").join(names, "a").select("place", "node", "order")), sets):
         out = out.unionByName(part)
     return out
 

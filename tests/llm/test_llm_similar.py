@@ -7,7 +7,7 @@ import random
 import corpus_pipeline
 import numpy as np
 import pytest
-from quire.llm import minhash, similar
+from quire.llm import common, minhash, similar
 
 
 def naive_fingerprint(hashes, k):
@@ -92,3 +92,21 @@ def test_near_dedup_chain(spark):
     assert minhash.SIMILARITY == (4, 5) and not near(grams(texts[0]), grams(texts[-1]))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert [x["doc_id"] for x in corpus_pipeline.near_dedup(spark, docs, "").collect()] == [0]
+
+
+def test_rows_of_shuffles_rows_once(spark):
+    """Rows are dealt by key once, also where the kept keys come from a file, whose fields may all be null."""
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c")], "doc_id long, text string")
+    kept = common.durable(docs.filter("doc_id = 1 or doc_id is null").select(common.row_key(docs).alias("key")).distinct())
+    found = common.rows_of(docs, kept)
+    assert sorted(x["text"] for x in found.collect()) == ["a", "c"]
+    plan = common.rows_of(docs, kept.hint("merge"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_sifted(spark):
+    """What is wanted stays, and most else goes."""
+    rows = spark.range(40_000).selectExpr("id % 7 as a", "id as b", "cast(id as string) as c")
+    found = {x["b"] for x in common.sifted(rows, rows.filter("b % 100 = 3").select("a", "b")).collect()}
+    assert set(range(3, 40_000, 100)) <= found and len(found) < 500
+    assert common.sifted(rows, rows.filter("false").select("b")).count() == 0
