@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zipfile
+from collections import Counter
 
 import pytest
 from quire.functions import mathtext as M
@@ -165,3 +166,18 @@ def test_overwrite_is_all_or_nothing(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     sheet = writers.review_sheet(spark.createDataFrame([(1, "a<b", True, ["gap"]), (2, "c", False, [])], "position int, name string, keep boolean, flags array<string>"), "Book & co").first()["html"]
     assert sheet.startswith("<!doctype html>") and sheet.index("<td>2</td>") < sheet.index("a&lt;b") and "Book &amp; co" in sheet
+
+
+def test_similar_compares_kinds(spark, monkeypatch):
+    """Lists with the same bag are compared once and written out in cells; no pair is lost or twice."""
+    monkeypatch.setattr(joins, "CELL", 7)
+    lists = [(k % 2, k, [f"a{k % 3}", "b", "b", "c", f"d{k % 2}"]) for k in range(300)] + [(0, 300, []), (0, 301, None), (0, 302, ["b", "c", "b", "a1", "d0"])]
+    frame = spark.createDataFrame(lists, "g int, id long, tokens array<string>")
+    members, kinds = joins._kinds(frame, ["g"])
+    assert kinds.filter("size(tokens) > 0").count() == 6 and members.groupBy("g", "kind", "cell").count().agg({"count": "max"}).first()[0] < 50
+    found = [tuple(r) for r in joins.similar(frame, frame, ["g"], least=0.8).collect()]
+
+    def bag(x, y):
+        return 2 * sum((Counter(x) & Counter(y)).values()) / (len(x) + len(y))
+
+    assert sorted(found) == sorted((g, i, j, bag(x, y)) for g, i, x in lists for h, j, y in lists if g == h and x and y and bag(x, y) >= 0.8)
