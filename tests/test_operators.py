@@ -181,3 +181,17 @@ def test_similar_compares_kinds(spark, monkeypatch):
         return 2 * sum((Counter(x) & Counter(y)).values()) / (len(x) + len(y))
 
     assert sorted(found) == sorted((g, i, j, bag(x, y)) for g, i, x in lists for h, j, y in lists if g == h and x and y and bag(x, y) >= 0.8)
+
+
+def test_located_sends_nothing_through_the_driver(spark):
+    rows = spark.range(100).selectExpr("id AS doc", "1L AS page", "concat('page of ', id) AS text")
+    excerpts = rows.selectExpr("doc", "1L AS id", "1L AS first", "1L AS last", "text AS excerpt")
+    plan = records.located(excerpts, rows)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_located_on_long_pages(spark):
+    """A passage with one letter off is found however long its page is."""
+    excerpts = spark.createDataFrame([("d", 1, 1, 1, "the tide was rising fast")], "doc string, id long, first long, last long, excerpt string")
+    pages = spark.createDataFrame([("d", 1, "x " * 400), ("d", 5, "and so on " * 300 + "the tide was rising last" + " it went on" * 300)], "doc string, page long, text string")
+    assert [tuple(r) for r in records.located(excerpts, pages).collect()] == [("d", 1, [5], "fuzzy")]
