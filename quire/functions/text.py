@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -17,6 +18,11 @@ _DIGITS = dict(zip("零一二三四五六七八九", range(10), strict=True)) |
 _UNITS = {sign: 10 ** (k + 1) for k, sign in enumerate("十百千")}
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once for a row, however often and inside whatever lambda ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Without Unicode white space at either end."""
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")

@@ -37,9 +37,17 @@ def dollar_runs(docs: DataFrame) -> DataFrame:
 
 def placed_paragraphs(docs: DataFrame) -> DataFrame:
     """Paragraphs with ``line``: it counts the line feeds of the paragraphs before and two for each separator."""
-    before = Window.partitionBy("doc").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
-    feeds = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
-    return generators.paragraphs(docs, keep_blank=True).withColumn("line", (F.coalesce(F.sum(feeds + 2).over(before), F.lit(0)) + 1).cast("long"))
+
+    def feeds(p: Column) -> Column:
+        return (F.length(p) - F.length(F.replace(p, F.lit("\n"), F.lit("")))).cast("long")
+
+    def placed(pieces: Column) -> Column:
+        start = F.struct(F.array().cast("array<bigint>").alias("lines"), F.lit(1).cast("long").alias("next"))
+        lines = F.aggregate(pieces, start, lambda s, p: F.struct(F.array_append(s["lines"], s["next"]).alias("lines"), (s["next"] + feeds(p) + 2).alias("next")), lambda s: s["lines"])
+        return F.zip_with(pieces, lines, lambda p, line: F.struct(p.alias("text"), line.alias("line")))
+
+    found = docs.filter("text is not null").select("doc", F.posexplode(T.bound(generators.paragraph_pieces(F.col("text"), keep_blank=True), placed)).alias("p", "s"))
+    return found.select("doc", F.col("p").cast("long").alias("nth"), "s.*")
 
 
 def inline_parity(docs: DataFrame) -> DataFrame:
@@ -72,7 +80,8 @@ def many_tags(spans: DataFrame) -> DataFrame:
 def dangling(spans: DataFrame, commands: DataFrame) -> DataFrame:
     """Spans that end in a command that takes an argument; ``commands`` has the names."""
     last = spans.withColumn("command", F.regexp_extract(T.strip(F.col("body")), r"\\([A-Za-z]+)$", 1))
-    return last.join(commands, "command", "left_semi")  # its measured size decides how
+    # most spans end in no command, and the others in a few; the names are a short list
+    return last.filter("command <> ''").join(F.broadcast(commands.select("command").distinct()), "command", "left_semi")
 
 
 def unknown_words(words: DataFrame, vocabulary: DataFrame, *, by: list[str], most: int = MAX_EXAMPLES) -> DataFrame:

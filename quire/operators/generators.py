@@ -23,10 +23,15 @@ def lines(docs: DataFrame) -> DataFrame:
 
 def paragraphs(docs: DataFrame, *, keep_blank: bool) -> DataFrame:
     """(doc, nth, text) between blank lines: stripped of line feeds and without blank ones, or all as they are."""
-    pieces = F.split("text", r"(?U)\n\s*\n" if keep_blank else r"\n[ \t]*\n", -1)
-    if not keep_blank:
-        pieces = F.filter(F.transform(pieces, lambda p: F.regexp_replace(p, r"^\n+|\n+$", "")), lambda p: T.strip(p) != "")
-    return docs.select("doc", F.posexplode(pieces).alias("p", "text")).select("doc", F.col("p").cast("long").alias("nth"), "text")
+    return docs.select("doc", F.posexplode(paragraph_pieces(F.col("text"), keep_blank=keep_blank)).alias("p", "text")).select("doc", F.col("p").cast("long").alias("nth"), "text")
+
+
+def paragraph_pieces(text: Column, *, keep_blank: bool) -> Column:
+    """What ``paragraphs`` explodes."""
+    pieces = F.split(text, r"(?U)\n\s*\n" if keep_blank else r"\n[ \t]*\n", -1)
+    if keep_blank:
+        return pieces
+    return F.filter(F.transform(pieces, lambda p: F.regexp_replace(p, r"^\n+|\n+$", "")), lambda p: T.strip(p) != "")
 
 
 def headings(docs: DataFrame) -> DataFrame:
@@ -60,17 +65,33 @@ def math_spans(docs: DataFrame) -> DataFrame:
     A line that is ``$$`` alone toggles a display block, an unterminated one is kept; elsewhere
     one-line ``$$..$$`` are displays, and ``$..$`` outside them inline spans.
     """
-    state = fenced_lines(docs)
-    inside = state.filter("not fence and block % 2 = 1").groupBy("doc", "block").agg(
-        (F.min("line") - 1).alias("line"), F.expr("listagg(text, '\n') within group (order by line)").alias("body"))
-    opened = state.filter("fence and block % 2 = 1").select("doc", "block", "line")
-    blocks = opened.join(inside.select("doc", "block", "body"), ["doc", "block"], "left").select("doc", "line", F.lit(0).cast("long").alias("nth"), F.lit("display").alias("kind"), F.coalesce("body", F.lit("")).alias("body"))
-    outside = state.filter("not fence and block % 2 = 0")
-    display = F.regexp_extract_all("text", F.lit(r"\${2}(.+?)\${2}"), 1)
-    inline = F.regexp_extract_all(F.regexp_replace("text", r"\$\$.+?\$\$", ""), F.lit(INLINE), 1)
-    spans = F.concat(_kinded(display, "display"), _kinded(inline, "inline"))
-    rest = outside.select("doc", "line", F.posexplode(spans).alias("nth", "s")).select("doc", "line", F.col("nth").cast("long").alias("nth"), "s.kind", "s.body")
-    return blocks.unionByName(rest)
+    return docs.select("doc", F.explode(_spans(F.col("text"))).alias("s")).select("doc", "s.*")
+
+
+def _spans(text: Column) -> Column:
+    """The spans of a text in order, (line, nth, kind, body): its lines are cut at the fences, all within the row."""
+
+    def of_line(x: Column, line: Column) -> Column:
+        display = F.regexp_extract_all(x, F.lit(r"\${2}(.+?)\${2}"), 1)
+        inline = F.regexp_extract_all(F.regexp_replace(x, r"\$\$.+?\$\$", ""), F.lit(INLINE), 1)
+        return F.transform(F.concat(_kinded(display, "display"), _kinded(inline, "inline")), lambda s, n: _span(line, n, s["kind"], s["body"]))
+
+    def of_piece(lines: Column, bounds: Column, k: Column) -> Column:
+        first = F.get(bounds, k)
+        piece = F.slice(lines, first + 1, F.get(bounds, k + 1) - first - 1)
+        block = F.array(_span(first, F.lit(0), F.lit("display"), F.array_join(piece, "\n")))
+        return F.when(k % 2 == 1, block).otherwise(F.flatten(F.transform(piece, lambda x, i: of_line(x, first + 1 + i))))
+
+    def of_lines(lines: Column) -> Column:
+        fences = F.filter(F.transform(lines, lambda x, i: F.when(T.strip(x) == "$$", i + 1)), lambda i: i.isNotNull())
+        bounds = F.concat(F.array(F.lit(0)), fences, F.array(F.size(lines) + 1))
+        return T.bound(bounds, lambda b: F.flatten(F.transform(F.sequence(F.lit(0), F.size(b) - 2), lambda k: of_piece(lines, b, k))))
+
+    return F.when(text.isNotNull(), T.bound(F.split(text, "\n", -1), of_lines))
+
+
+def _span(line: Column, nth: Column, kind: Column, body: Column) -> Column:
+    return F.struct(line.cast("long").alias("line"), nth.cast("long").alias("nth"), kind.alias("kind"), body.alias("body"))
 
 
 def _kinded(bodies: Column, kind: str) -> Column:
@@ -83,9 +104,7 @@ def latex_spans(docs: DataFrame) -> DataFrame:
     The three sources follow each other, so the rows are not in document order, and a dollar inside
     an environment shows up twice.
     """
-    first = math_spans(docs)
-    order = Window.partitionBy("doc").orderBy("line", "nth")
-    markdown = first.select("doc", F.lit(0).alias("source"), (F.row_number().over(order) - 1).cast("long").alias("nth"), "body")
+    markdown = docs.select("doc", F.lit(0).alias("source"), F.posexplode(_spans(F.col("text"))).alias("nth", "s")).select("doc", "source", F.col("nth").cast("long").alias("nth"), "s.body")
     brackets = F.regexp_extract_all("text", F.lit(r"(?s)\\\[(.*?)\\\]"), 1)
     environments = F.regexp_extract_all("text", F.lit(r"(?s)\\begin\{(align|displaymath|eqnarray|equation|gather|multline)[*]?\}(.*?)\\end\{\1[*]?\}"), 2)
     rest = [docs.select("doc", F.lit(k).alias("source"), F.posexplode(x).alias("nth", "body")).withColumn("nth", F.col("nth").cast("long")) for k, x in ((1, brackets), (2, environments))]

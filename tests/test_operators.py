@@ -7,7 +7,7 @@ from collections import Counter
 
 import pytest
 from quire.functions import mathtext as M
-from quire.operators import checks, joins, lint, markup, records, windows
+from quire.operators import checks, generators, joins, lint, markup, records, windows
 from quire.plans import pipelines
 from quire.sources import readers, writers
 from quire.streaming import events, state
@@ -195,3 +195,19 @@ def test_located_on_long_pages(spark):
     excerpts = spark.createDataFrame([("d", 1, 1, 1, "the tide was rising fast")], "doc string, id long, first long, last long, excerpt string")
     pages = spark.createDataFrame([("d", 1, "x " * 400), ("d", 5, "and so on " * 300 + "the tide was rising last" + " it went on" * 300)], "doc string, page long, text string")
     assert [tuple(r) for r in records.located(excerpts, pages).collect()] == [("d", 1, [5], "fuzzy")]
+
+
+def test_spans_and_paragraphs_stay_in_their_row(spark):
+    """No shuffle of spans, so none that brings all spans without a command to one task; a fence that is never closed, no text and blank ends count."""
+    texts = ["a $x$\n$$\nb\n\nc \\frac \n $$ \n$$d$$ and $ e$", "$$\nopen \\sqrt", "$$\n$$", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    spans = generators.math_spans(docs)
+    assert sorted(tuple(r) for r in spans.collect()) == [
+        (0, 1, 0, "inline", "x"), (0, 2, 0, "display", "b\n\nc \\frac "), (0, 7, 0, "display", "d"), (0, 7, 1, "inline", " e"), (1, 1, 0, "display", "open \\sqrt"), (2, 1, 0, "display", ""),
+    ]
+    found = checks.dangling(spans, spark.createDataFrame([("frac",), ("sqrt",), ("sqrt",)], "command string"))
+    assert sorted((r["doc"], r["command"]) for r in found.collect()) == [(0, "frac"), (1, "sqrt")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(doc" not in plan and "Window" not in plan
+    placed = checks.placed_paragraphs(docs.filter("doc = 0").selectExpr("doc", "'a\nb\n \n\nc\n\nd' AS text"))
+    assert [tuple(r) for r in placed.orderBy("nth").collect()] == [(0, 0, "a\nb", 1), (0, 1, "c", 4), (0, 2, "d", 6)]
