@@ -211,3 +211,12 @@ def test_spans_and_paragraphs_stay_in_their_row(spark):
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(doc" not in plan and "Window" not in plan
     placed = checks.placed_paragraphs(docs.filter("doc = 0").selectExpr("doc", "'a\nb\n \n\nc\n\nd' AS text"))
     assert [tuple(r) for r in placed.orderBy("nth").collect()] == [(0, 0, "a\nb", 1), (0, 1, "c", 4), (0, 2, "d", 6)]
+
+
+def test_fidelity_reads_each_span_once(spark, monkeypatch):
+    """Tokens are the dear part of a pair; the findings do not depend on how often they are read."""
+    read = []
+    monkeypatch.setattr(M, "tokens", lambda body, plain=M.tokens: (read.append(body), plain(body))[1])
+    monkeypatch.setattr(markup, "mapped", lambda docs, columns, schema, rows: list(rows("$$a-b$$ (1.2)\n\n$$c$$ $d$ 3.5", "$$a+b$$\n\n$$c$$ $d$ % 3.5")))
+    assert markup.pair_fidelity(None) == [("equation-tags", "review", "lost 1.2"), ("changed-block", "review", "a - b"), ("prose-numbers", "info", "1.2"), ("prose-numbers", "info", "3.5")]
+    assert sorted(read) == sorted(["a-b", "c", "d", "a+b", "c", "d"])
