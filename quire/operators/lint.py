@@ -44,14 +44,8 @@ def paragraph_braces(docs: DataFrame) -> DataFrame:
 
 def starred_numbers(docs: DataFrame) -> DataFrame:
     """(doc, command, argument, line) of starred headings that begin with a number, which nothing will number again."""
-    found = rewrites.doubled_starts(markup.braced_arguments(docs, HEADING_COMMANDS)).filter("star")
-    return _placed(found, docs).select("doc", "command", "argument", "line")
-
-
-def _placed(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """Rows (doc, at) with the line of their offset."""
-    line = F.regexp_count(F.left("text", F.col("at").cast("int")), F.lit("\n")) + 1
-    return found.join(docs.select("doc", "text"), "doc").withColumn("line", line.cast("long")).drop("text")
+    found = rewrites.doubled_starts(markup.braced_arguments(docs, HEADING_COMMANDS, placed=True)).filter("star")
+    return found.select("doc", "command", "argument", "line")
 
 
 def fragment_issues(docs: DataFrame) -> DataFrame:
@@ -124,7 +118,7 @@ def _inline(docs: DataFrame, _: Dimensions) -> DataFrame:
 
 
 def _doubled_numbers(docs: DataFrame, _: Dimensions) -> DataFrame:
-    found = _placed(rewrites.doubled_starts(markup.braced_arguments(docs, NUMBERED_COMMANDS)).filter("not star"), docs)
+    found = rewrites.doubled_starts(markup.braced_arguments(docs, NUMBERED_COMMANDS, placed=True)).filter("not star")
     return _each(found, "duplicated-number", F.col("command"), F.col("line"), F.col("argument"))
 
 
@@ -138,7 +132,7 @@ def _markdown_headings(docs: DataFrame, _: Dimensions) -> DataFrame:
 
 
 def _dangling(docs: DataFrame, known: Dimensions) -> DataFrame | None:
-    return known.arguments and _each(checks.dangling(generators.latex_spans(docs), known.arguments), "dangling-command", F.col("command"), context=F.col("body"))
+    return known.arguments and _each(checks.dangling(generators.latex_spans(docs.filter(F.col("text").rlike(r"(?U)\\[A-Za-z]+\s*(?:\$|\\|\z)|\\\$\$"))), known.arguments), "dangling-command", F.col("command"), context=F.col("body"))
 
 
 def _doubled_commands(docs: DataFrame, _: Dimensions) -> DataFrame:
@@ -178,7 +172,8 @@ def _source_images(docs: DataFrame, known: Dimensions) -> DataFrame | None:
 
 
 def _runs(docs: DataFrame, _: Dimensions) -> DataFrame:
-    return _each(checks.dollar_runs(docs).filter("welded"), "dollar-runs", F.format_string("%d signs, %d times", "run", "times"))
+    welded = docs.filter(F.contains("text", F.lit("$$$")))  # runs are counted where one is long enough
+    return _each(checks.dollar_runs(welded).filter("welded"), "dollar-runs", F.format_string("%d signs, %d times", "run", "times"))
 
 
 def _displays(docs: DataFrame, _: Dimensions) -> DataFrame:
@@ -201,7 +196,8 @@ def _span_braces(docs: DataFrame, _: Dimensions) -> DataFrame:
 
 
 def _tags(docs: DataFrame, _: Dimensions) -> DataFrame:
-    return _each(checks.many_tags(generators.math_spans(docs)), "multiple-tags", F.col("tags"), F.col("line"), F.col("body"))
+    tagged = docs.filter(F.col("text").rlike(r"(?s)\\tag.*\\tag|\\t?a?\$\$"))  # a span is a part of its text, but for displays taken out of it
+    return _each(checks.many_tags(generators.math_spans(tagged)), "multiple-tags", F.col("tags"), F.col("line"), F.col("body"))
 
 
 def _arrays(docs: DataFrame, _: Dimensions) -> DataFrame:
@@ -209,7 +205,9 @@ def _arrays(docs: DataFrame, _: Dimensions) -> DataFrame:
 
 
 def _source_dangling(docs: DataFrame, known: Dimensions) -> DataFrame | None:
-    return known.arguments and _each(checks.dangling(generators.math_spans(docs), known.arguments), "dangling-command", F.col("command"), F.col("line"), F.col("body"))
+    # a span ends before a dollar sign or with its text; a display taken out may join its last command
+    ending = docs.filter(F.col("text").rlike(r"(?U)\\[A-Za-z]+\s*(?:\$|\z)|\\\$\$"))
+    return known.arguments and _each(checks.dangling(generators.math_spans(ending), known.arguments), "dangling-command", F.col("command"), F.col("line"), F.col("body"))
 
 
 def _levels(docs: DataFrame, _: Dimensions) -> DataFrame:

@@ -220,3 +220,14 @@ def test_fidelity_reads_each_span_once(spark, monkeypatch):
     monkeypatch.setattr(markup, "mapped", lambda docs, columns, schema, rows: list(rows("$$a-b$$ (1.2)\n\n$$c$$ $d$ 3.5", "$$a+b$$\n\n$$c$$ $d$ % 3.5")))
     assert markup.pair_fidelity(None) == [("equation-tags", "review", "lost 1.2"), ("changed-block", "review", "a - b"), ("prose-numbers", "info", "1.2"), ("prose-numbers", "info", "3.5")]
     assert sorted(read) == sorted(["a-b", "c", "d", "a+b", "c", "d"])
+
+
+def test_surface_meets_no_text_again(spark):
+    """Lines come with the arguments, not by a join with all texts, and what documents are left out beforehand has no finding."""
+    docs = spark.createDataFrame([("a", "x\n\\section*{1 A}"), ("b", "$a\\$$x$$frac$"), ("c", "$\\t$$x$$ag{1}\\tag{2}$ $$\\frac$$"), ("d", "$$\nq \\sqrt \n$$"), ("e", "\\[y \\frac\\]"), ("f", None)], "doc string, text string")
+    starred = lint.starred_numbers(docs)
+    assert [tuple(r) for r in starred.collect()] == [("a", "section", "1 A", 2)] and "Join" not in starred._jdf.queryExecution().executedPlan().toString()
+    known = lint.Dimensions(arguments=spark.createDataFrame([("frac",), ("sqrt",)], "command string"))
+    found = {side: {(r["doc"], r["check"]) for r in lint.surface(docs, order, known).collect()} for side, order in (("md", lint.MARKDOWN), ("tex", lint.LATEX))}
+    assert {d for d, c in found["md"] if c == "dangling-command"} == {"b", "c", "d"} and ("c", "multiple-tags") in found["md"]
+    assert {d for d, c in found["tex"] if c == "dangling-command"} == {"b", "c", "d", "e"}
